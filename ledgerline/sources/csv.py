@@ -6,7 +6,9 @@ All readers use a declared schema (no inference) and:
   file whose columns are reordered fails instead of silently shifting values;
 - leading/trailing whitespace is trimmed from every field;
 - PERMISSIVE mode with a corrupt-record column: a failed cast becomes NULL and
-  the raw line is kept for the reject report.
+  the raw line is kept for the reject report. Casts are only attempted for the
+  columns a query reads, so a bad value in an unread column is not flagged;
+  the reject report reads every column its rule uses.
 """
 
 from __future__ import annotations
@@ -35,7 +37,11 @@ def _reader(spark: SparkSession, schema: StructType, keep_corrupt: bool):
         .option("mode", "PERMISSIVE")
     )
     if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD)
+        # Tokenize every field even when a query selects only some, so a
+        # short or long line is flagged whatever the projection.
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_RECORD).option(
+            "columnPruning", False
+        )
         schema = _with_corrupt(schema)
     return reader.schema(schema)
 
