@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from ledgerline.functions.money import avg_money, money_out
 from ledgerline.functions.timecols import calendar_date, month_label
@@ -32,14 +33,18 @@ def enrich(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataF
 
     Sales whose customer or product is unknown are dropped here; they are
     reported by ``orphan_keys`` and still counted by the fact-level measures.
-    ``revenue`` is rounded per row (a no-op on 2-dp prices).
+    ``revenue`` is rounded to 2 dp per row; on 2-dp decimal prices that is a
+    no-op, decided from the schema, so no per-row work is planned for it.
     """
     c = customers.select(
         "customer_id", F.col("name").alias("customer_name"), "city", "segment"
     )
     p = products.select("product_id", "category", "brand")
     joined = sales.join(c, "customer_id", "inner").join(p, "product_id", "inner")
-    return joined.withColumn("revenue", F.round("revenue", 2)).select(*ENRICHED_COLUMNS)
+    rev_type = sales.schema["revenue"].dataType
+    if not (isinstance(rev_type, DecimalType) and rev_type.scale <= 2):
+        joined = joined.withColumn("revenue", F.round("revenue", 2))
+    return joined.select(*ENRICHED_COLUMNS)
 
 
 # ---------------------------------------------------------------- fact-only
