@@ -107,7 +107,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     at every execution, exactly like reusing a DataFrame in one job.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (id(spark), path)
     df = _TABLES.get(key)
     if df is None or df.sparkSession is not spark:
         schema = DRIVER_SCHEMAS.get(name)
@@ -130,8 +130,12 @@ def spread_if_narrow(df: DataFrame, keys) -> DataFrame:
     round-robin) needs no local sort for retry-determinism; with several key
     columns a single hot value of one of them cannot fill one partition.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    try:
+        parallelism = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. Spark Connect: no RDD view; leave the plan as is
+        return df
+    if splits < parallelism:
         return df.repartition(parallelism, *keys)
     return df
 
