@@ -60,11 +60,16 @@ def demand_spikes(windows: DataFrame, factor=RetailParams().spike_factor) -> Dat
     The baseline is the mean over all product-windows (each window included),
     0 when there are none. It enters as one scalar subquery, and the test is
     done exactly in integers/decimals: total_qty * n > factor * sum.
+
+    Windows are counted through ``window_revenue`` (never NULL for a window)
+    so the subquery needs the same aggregate columns as the main query; when
+    ``windows`` is an aggregation, Spark then reuses its shuffle for the
+    baseline instead of aggregating the events a second time.
     """
     baseline = windows.agg(
         F.struct(
             F.coalesce(F.sum("total_qty"), F.lit(0)).alias("s"),
-            F.count(F.lit(1)).alias("n"),
+            F.count("window_revenue").alias("n"),
         )
     ).scalar()
     cond = F.col("total_qty") * baseline.getField("n") > F.lit(factor) * baseline.getField("s")

@@ -58,3 +58,10 @@ def test_growth_by_month_has_no_global_window(spark):
     plan = _plan(contract.queries()["sales_growth_by_month"](spark, SMOKE_DIR))
     assert "Window" not in plan
     assert "SinglePartition" not in plan
+
+
+def test_spike_baseline_reuses_the_window_aggregation(spark):
+    df = contract.queries()["demand_spikes"](spark, SMOKE_DIR)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
