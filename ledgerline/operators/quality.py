@@ -51,11 +51,11 @@ def clean_sales(raw: DataFrame, params: RetailParams = RetailParams()) -> DataFr
     Output columns: transaction_id, customer_id, product_id, store_id,
     quantity, price, revenue, timestamp.
     """
-    typed = raw.withColumn("timestamp", parse_timestamp(raw, "timestamp")).withColumn(
-        "revenue", revenue()
-    )
-    kept = typed.dropna(subset=list(SALES_KEYS + SALES_NUMBERS)).filter(_in_range(params))
-    return kept.select(*FACT_COLUMNS)
+    kept = raw.filter(is_valid_sale(params))
+    cols = {c: F.col(c) for c in FACT_COLUMNS if c in raw.columns}
+    cols["timestamp"] = parse_timestamp(raw, "timestamp")
+    cols["revenue"] = revenue()
+    return kept.select(*[cols[c].alias(c) for c in FACT_COLUMNS])
 
 
 def reject_reason(raw: DataFrame, params: RetailParams = RetailParams()) -> Column:

@@ -40,28 +40,54 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Retail:
-    """Lazy retail frames over one table directory."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str, params: RetailParams = QUERY_PARAMS):
-        self.spark, self.sf_dir, self.params = spark, sf_dir, params
+    """Lazy retail frames over one table directory.
+
+    Frames are built once per (session, directory, parameters) and reused
+    by every query, the way one job reads its inputs once and derives many
+    results from the same DataFrames. They are lazy plans: each execution
+    re-reads the files.
+    """
+
+    _cache: dict = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str, params: RetailParams = QUERY_PARAMS):
+        key = (id(spark), sf_dir.rstrip("/"), params)
+        inst = cls._cache.get(key)
+        if inst is None or inst.spark is not spark:
+            inst = super().__new__(cls)
+            inst.spark, inst.sf_dir, inst.params = spark, sf_dir, params
+            inst._frames = {}
+            cls._cache[key] = inst
+        return inst
+
+    def __init__(self, *args, **kwargs):
+        pass
+
+    def _frame(self, name, build):
+        df = self._frames.get(name)
+        if df is None:
+            df = self._frames[name] = build()
+        return df
 
     def raw_sales(self) -> DataFrame:
-        return tables.sales_from_tables(self.spark, self.sf_dir)
+        return self._frame("raw_sales", lambda: tables.sales_from_tables(self.spark, self.sf_dir))
 
     def sales(self) -> DataFrame:
-        return quality.clean_sales(self.raw_sales(), self.params)
+        return self._frame("sales", lambda: quality.clean_sales(self.raw_sales(), self.params))
 
     def customers(self) -> DataFrame:
-        return tables.customers_from_tables(self.spark, self.sf_dir)
+        return self._frame("customers", lambda: tables.customers_from_tables(self.spark, self.sf_dir))
 
     def products(self) -> DataFrame:
-        return tables.products_from_tables(self.spark, self.sf_dir)
+        return self._frame("products", lambda: tables.products_from_tables(self.spark, self.sf_dir))
 
     def enriched(self) -> DataFrame:
-        return marts.enrich(self.sales(), self.customers(), self.products())
+        return self._frame(
+            "enriched", lambda: marts.enrich(self.sales(), self.customers(), self.products())
+        )
 
     def events(self) -> DataFrame:
-        return tables.events_from_tables(self.spark, self.sf_dir)
+        return self._frame("events", lambda: tables.events_from_tables(self.spark, self.sf_dir))
 
 
 def _fact_out(df: DataFrame) -> DataFrame:
