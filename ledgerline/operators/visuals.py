@@ -68,10 +68,14 @@ def sales_trend(fact: DataFrame) -> DataFrame:
 
 
 def segment_summary(fact: DataFrame, customers: DataFrame) -> DataFrame:
-    """(segment, total_sales, average_order_value, customer_count)."""
-    joined = fact.select("customer_id", "transaction_id", "revenue").join(
-        customers.select("customer_id", "segment"), "customer_id", "left"
-    )
+    """(segment, total_sales, average_order_value, customer_count).
+
+    Lines are first summed per (transaction, customer): the dimension join and
+    the two distinct counts then see one row per transaction instead of one
+    per line. Exact, because both distinct counts are over grouping keys.
+    """
+    per_txn = fact.groupBy("transaction_id", "customer_id").agg(F.sum("revenue").alias("revenue"))
+    joined = per_txn.join(customers.select("customer_id", "segment"), "customer_id", "left")
     per_segment = joined.groupBy("segment").agg(
         F.sum("revenue").alias("total"),
         F.countDistinct("transaction_id").alias("n_txn"),

@@ -213,7 +213,7 @@ def q_silver_store_sales(spark, sf_dir):
     """Write silver sales (partitioned by store) and read one store back."""
     r = Retail(spark, sf_dir)
     root = shared_dir(spark, "lakehouse")
-    lakehouse.write_silver(r.sales(), r.customers(), r.products(), root, r.params)
+    lakehouse.write_silver_sales(r.sales(), root, r.params)
     ts_type = r.sales().schema["timestamp"].dataType
     back = lakehouse.read_silver_sales(spark, root, SILVER_STORE, ts_type)
     return _fact_out(back)

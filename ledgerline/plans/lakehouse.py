@@ -53,6 +53,14 @@ def spread_by_store(clean: DataFrame, files_per_store: int) -> DataFrame:
     return clean.repartition("store_id", salt)
 
 
+def write_silver_sales(
+    clean: DataFrame, root: str, params: RetailParams = RetailParams()
+) -> int:
+    """Silver sales only: partitioned by store, salted against hot stores."""
+    spread = spread_by_store(clean, params.silver_files_per_store)
+    return _write_observed(spread, f"{root}/silver/sales", "silver_sales", "store_id")
+
+
 def write_silver(
     clean: DataFrame,
     customers: DataFrame,
@@ -60,9 +68,8 @@ def write_silver(
     root: str,
     params: RetailParams = RetailParams(),
 ) -> dict[str, int]:
-    spread = spread_by_store(clean, params.silver_files_per_store)
     return {
-        "sales": _write_observed(spread, f"{root}/silver/sales", "silver_sales", "store_id"),
+        "sales": write_silver_sales(clean, root, params),
         "customers": _write_observed(
             dimension(customers, "customer_id"), f"{root}/silver/customers", "silver_customers"
         ),
