@@ -1,6 +1,6 @@
-"""BI measures, evaluated (the original only stored them as DAX text).
+"""BI measures, evaluated (the original only stored them as formula text).
 
-Fixed readings of the DAX definitions:
+Fixed readings of the measure definitions:
 
 - Total Sales          sum(price * quantity) over the fact
 - Average Order Value  Total Sales / distinct transaction_id, 0 when none
