@@ -26,9 +26,5 @@ class RetailParams:
     price_floor: Decimal = Decimal("0")
     quantity_floor: int = 0
 
-    # Silver write: files per store partition value (salted repartition so a
-    # hot store is spread over many tasks instead of one).
-    silver_files_per_store: int = 4
-
     def with_(self, **changes) -> "RetailParams":
         return replace(self, **changes)

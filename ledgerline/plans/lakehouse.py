@@ -40,25 +40,25 @@ def land_bronze(spark: SparkSession, sources: Mapping[str, DataFrame], root: str
     }
 
 
-def spread_by_store(clean: DataFrame, files_per_store: int) -> DataFrame:
-    """Hash-repartition on (store_id, salt) before the partitioned write.
+def rebalance_by_store(clean: DataFrame) -> DataFrame:
+    """Shuffle on ``store_id`` with AQE rebalancing before the partitioned write.
 
     A plain ``repartition('store_id')`` would send a whole store (which may
-    hold a third of all rows) to one task; the salt spreads every store over
-    ``files_per_store`` tasks while still bounding the number of files per
-    store directory. The salt is a deterministic hash of the row, so a retried
-    task rebuilds exactly the same partitions.
+    hold a third of all rows) to one task and write it as one huge file; not
+    shuffling at all writes one small file per store per input task. The
+    ``rebalance`` hint lets AQE split an oversized store partition into
+    chunks of ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` and merge
+    small ones, so the number of files per store follows the data volume and
+    every task writes a bounded amount.
     """
-    salt = F.pmod(F.xxhash64(*clean.columns), F.lit(files_per_store))
-    return clean.repartition("store_id", salt)
+    return clean.hint("rebalance", "store_id")
 
 
 def write_silver_sales(
     clean: DataFrame, root: str, params: RetailParams = RetailParams()
 ) -> int:
-    """Silver sales only: partitioned by store, salted against hot stores."""
-    spread = spread_by_store(clean, params.silver_files_per_store)
-    return _write_observed(spread, f"{root}/silver/sales", "silver_sales", "store_id")
+    """Silver sales only: partitioned by store, rebalanced against hot stores."""
+    return _write_observed(rebalance_by_store(clean), f"{root}/silver/sales", "silver_sales", "store_id")
 
 
 def write_silver(

@@ -35,15 +35,25 @@ def test_silver_round_trip_keeps_store_strings_and_prunes(spark, retail_csv, tmp
     assert [r["transaction_id"] for r in null_store] == ["T3"]
 
 
-def test_silver_salted_layout_bounds_files_per_store(spark, tmp_path):
-    r = Retail(spark, SMOKE_DIR)
-    params = r.params.with_(silver_files_per_store=3)
-    lakehouse.write_silver(r.sales(), r.customers(), r.products(), str(tmp_path), params)
+def test_silver_rebalance_splits_large_stores(spark, tmp_path):
+    """With a small advisory size every store is split over several files
+    (tasks); each file still belongs to exactly one store directory."""
     import glob
 
-    for store_dir in glob.glob(f"{tmp_path}/silver/sales/store_id=*"):
-        files = glob.glob(f"{store_dir}/*.parquet")
-        assert 1 <= len(files) <= 3
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "16k")
+    try:
+        r = Retail(spark, SMOKE_DIR)
+        n = lakehouse.write_silver_sales(r.sales(), str(tmp_path))
+    finally:
+        spark.conf.set(key, old)
+    assert n == r.sales().count()
+    dirs = glob.glob(f"{tmp_path}/silver/sales/store_id=*")
+    assert len(dirs) == 10
+    assert all(len(glob.glob(f"{d}/*.parquet")) > 1 for d in dirs)
+    plan_rows = lakehouse.read_silver_sales(spark, str(tmp_path), store="S3").count()
+    assert plan_rows == r.sales().filter("store_id = 'S3'").count()
 
 
 def test_gold_build_writes_marts(spark, tmp_path):
