@@ -30,9 +30,17 @@ def test_top_k_is_fused(spark, key):
     assert "TakeOrderedAndProject" in plan
 
 
+def _direct(spark):
+    from ledgerline.plans.catalog import Retail
+
+    return Retail(spark, SMOKE_DIR, materialize=False)
+
+
 def test_scans_read_only_needed_columns(spark):
-    df = contract.queries()["revenue_by_city"](spark, SMOKE_DIR)
-    plan = _plan(df)
+    from ledgerline.operators import marts
+
+    r = _direct(spark)
+    plan = _plan(marts.revenue_by_city(r.sales(), r.customers()))
     # lineitem: store_id is not needed, so even l_suppkey is pruned
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double,l_extendedprice:double>" in plan
     assert "c_acctbal" not in plan
@@ -40,7 +48,8 @@ def test_scans_read_only_needed_columns(spark):
 
 
 def test_inferred_not_null_filters_reach_the_scan(spark):
-    plan = _plan(contract.queries()["enriched_sales"](spark, SMOKE_DIR))
+    r = _direct(spark)
+    plan = _plan(r.enriched())
     pushed = [ln for ln in plan.splitlines() if "PushedFilters" in ln]
     assert any("lineitem" in ln and "IsNotNull(l_orderkey)" in ln for ln in pushed)
     assert any("orders" in ln and "IsNotNull(o_orderkey)" in ln for ln in pushed)
@@ -65,3 +74,14 @@ def test_spike_baseline_reuses_the_window_aggregation(spark):
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in plan
+
+
+def test_layered_queries_read_pruned_written_tables(spark):
+    plan = _plan(contract.queries()["gold_revenue_by_city"](spark, SMOKE_DIR))
+    assert "ReadSchema: struct<transaction_id:string,revenue:decimal(23,2),city:string>" in plan
+    assert "lineitem" not in plan  # the star join is not recomputed
+
+
+def test_store_query_prunes_partitions(spark):
+    plan = _plan(contract.queries()["silver_store_sales"](spark, SMOKE_DIR))
+    assert "PartitionFilters: [isnotnull(store_id" in plan and "= S3)" in plan
