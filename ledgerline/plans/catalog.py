@@ -5,9 +5,11 @@ through the star adapter (``ledgerline.sources.tables``); nothing is sampled
 or capped except where a top-k is the feature itself.
 
 The adapter output is landed once per session as medallion layers in the
-shared folder (``spark.checkpoint.dir``): bronze sales (the raw adapter
-rows), silver sales (cleaned, partitioned by store), the two dimensions, and
-the gold enriched fact. Queries read those written tables, so the
+shared folder (``spark.checkpoint.dir``): silver sales (cleaned, partitioned
+by store), the two dimensions, and the gold enriched fact. The driver tables
+themselves are the raw (bronze) landing: the two audits over raw rows
+(``bronze_profile``, ``rejected_rows``) read them directly rather than a
+second full copy of the fact. Queries read those written tables, so the
 lineitem/orders join and the star join run once instead of once per query,
 lineage is cut at each layer, and the planner sees real file sizes when it
 decides whether a dimension is small enough to broadcast.
@@ -95,13 +97,9 @@ class Retail:
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    # -- bronze: the adapter rows as they come from the driver tables
+    # -- raw: the adapter rows as they come from the driver tables
     def raw_sales(self) -> DataFrame:
-        def build():
-            raw = tables.sales_from_tables(self.spark, self.sf_dir)
-            return self._landed("bronze/sales", raw) if self.materialize else raw
-
-        return self._frame("raw_sales", build)
+        return self._frame("raw_sales", lambda: tables.sales_from_tables(self.spark, self.sf_dir))
 
     # -- silver: cleaned sales, partitioned by store
     def sales(self) -> DataFrame:
