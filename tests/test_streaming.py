@@ -56,6 +56,7 @@ def test_available_now_emits_closed_windows_only(spark, stream_dirs):
     assert got[(0, "P1")] == (4, 40.0)
     assert got[(10, "P2")] == (6, 60.0)
     assert res.input_rows == 12
+    assert res.batches >= 3  # maxFilesPerTrigger=1 honoured by availableNow: one file per batch
 
 
 def test_late_file_dropped_and_rerun_adds_nothing(spark, stream_dirs):
