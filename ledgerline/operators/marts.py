@@ -18,7 +18,6 @@ from pyspark.sql.types import DecimalType
 
 from ledgerline.functions.money import avg_money, money_out
 from ledgerline.functions.timecols import calendar_date, month_label
-from ledgerline.params import RetailParams
 from ledgerline.schemas import ENRICHED_COLUMNS
 
 
@@ -187,7 +186,6 @@ def with_money_out(df: DataFrame, *cols: str) -> DataFrame:
 
 
 __all__ = [
-    "RetailParams",
     "enrich",
     "product_revenue",
     "top_products",

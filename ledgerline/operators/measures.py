@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerline.functions.money import avg_money, money_out, safe_growth
-from ledgerline.functions.timecols import calendar_date, month_label, month_start
+from ledgerline.functions.timecols import calendar_date, month_start
 
 
 def sales_by(fact: DataFrame, dim: DataFrame, key: str, axis: str) -> DataFrame:
@@ -156,5 +156,4 @@ __all__ = [
     "monthly_totals",
     "sales_growth_by_month",
     "revenue_by_segment",
-    "month_label",
 ]

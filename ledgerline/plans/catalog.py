@@ -137,12 +137,18 @@ class Retail:
 
         return self._frame("enriched", build)
 
+    # -- typed events (JSON quantity parsed and price cast once) for the batch twin
     def events(self) -> DataFrame:
-        return self._frame("events", lambda: tables.events_from_tables(self.spark, self.sf_dir))
+        def build():
+            df = tables.events_from_tables(self.spark, self.sf_dir)
+            return self._landed("silver/events", df) if self.materialize else df
+
+        return self._frame("events", build)
 
     def prepare(self) -> "Retail":
         """Build every layer now (otherwise each is built on first use)."""
         self.enriched()
+        self.events()
         return self
 
 

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
 
-from ledgerline.operators import marts, quality, star
+from ledgerline.operators import quality, star
 from ledgerline.params import RetailParams
 from ledgerline.plans import lakehouse
 from ledgerline.sources import (
