@@ -110,17 +110,16 @@ FACT_SELECT = (
     "CAST(price AS DOUBLE) AS price, CAST(revenue AS DOUBLE) AS revenue, ts AS \"timestamp\""
 )
 
-MTD = f"""
+MTD = """
 mtd_dated AS (SELECT CAST(ts AS DATE) AS d, revenue FROM sales),
-mtd_bounds AS (
-    SELECT max(d) AS last_day, CAST(max(d) - INTERVAL 1 MONTH AS DATE) AS prev_day FROM mtd_dated
-),
 mtd AS (
-    SELECT COALESCE(SUM(revenue) FILTER (WHERE d BETWEEN CAST(date_trunc('month', b.last_day) AS DATE)
-                                           AND b.last_day), 0) AS this_sum,
-           COALESCE(SUM(revenue) FILTER (WHERE d BETWEEN CAST(date_trunc('month', b.prev_day) AS DATE)
-                                           AND b.prev_day), 0) AS last_sum
-    FROM mtd_dated JOIN mtd_bounds b ON TRUE
+    SELECT COALESCE(SUM(revenue) FILTER (
+               WHERE d BETWEEN CAST(date_trunc('month', (SELECT max(d) FROM mtd_dated)) AS DATE)
+                           AND (SELECT max(d) FROM mtd_dated)), 0) AS this_sum,
+           COALESCE(SUM(revenue) FILTER (
+               WHERE d BETWEEN CAST(date_trunc('month', (SELECT max(d) FROM mtd_dated) - INTERVAL 1 MONTH) AS DATE)
+                           AND CAST((SELECT max(d) FROM mtd_dated) - INTERVAL 1 MONTH AS DATE)), 0) AS last_sum
+    FROM mtd_dated
 )
 """
 
