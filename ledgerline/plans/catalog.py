@@ -107,7 +107,7 @@ class Retail:
             clean = quality.clean_sales(self.raw_sales(), self.params)
             if not self.materialize:
                 return clean
-            lakehouse.write_silver_sales(clean, self.root, self.params)
+            lakehouse.write_silver_sales(clean, self.root)
             ts_type = clean.schema["timestamp"].dataType
             return lakehouse.read_silver_sales(self.spark, self.root, timestamp_type=ts_type).select(
                 *FACT_COLUMNS
@@ -283,7 +283,7 @@ def q_silver_store_sales(spark, sf_dir):
         root = r.root
     else:
         root = shared_dir(spark, "lakehouse")
-        lakehouse.write_silver_sales(r.sales(), root, r.params)
+        lakehouse.write_silver_sales(r.sales(), root)
     back = lakehouse.read_silver_sales(spark, root, SILVER_STORE, ts_type)
     return _fact_out(back)
 

@@ -68,7 +68,7 @@ def run_batch_job(
     )
     clean = quality.clean_sales(sales_raw, params)
     report.rejected = {r["reason"]: r["n"] for r in quality.rejected_rows(sales_raw, params).collect()}
-    report.silver = lakehouse.write_silver(clean, customers, products, out_root, params)
+    report.silver = lakehouse.write_silver(clean, customers, products, out_root)
 
     # Downstream layers read the written silver tables, not the CSV plans.
     silver_sales = lakehouse.read_silver_sales(spark, out_root)

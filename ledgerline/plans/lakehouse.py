@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import marts, star
 from ledgerline.operators.quality import dimension
-from ledgerline.params import RetailParams
 from ledgerline.schemas import silver_sales_schema
 
 
@@ -54,9 +53,7 @@ def rebalance_by_store(clean: DataFrame) -> DataFrame:
     return clean.hint("rebalance", "store_id")
 
 
-def write_silver_sales(
-    clean: DataFrame, root: str, params: RetailParams = RetailParams()
-) -> int:
+def write_silver_sales(clean: DataFrame, root: str) -> int:
     """Silver sales only: partitioned by store, rebalanced against hot stores."""
     return _write_observed(rebalance_by_store(clean), f"{root}/silver/sales", "silver_sales", "store_id")
 
@@ -66,10 +63,9 @@ def write_silver(
     customers: DataFrame,
     products: DataFrame,
     root: str,
-    params: RetailParams = RetailParams(),
 ) -> dict[str, int]:
     return {
-        "sales": write_silver_sales(clean, root, params),
+        "sales": write_silver_sales(clean, root),
         "customers": _write_observed(
             dimension(customers, "customer_id"), f"{root}/silver/customers", "silver_customers"
         ),
