@@ -40,3 +40,22 @@ def test_batch_job_on_fixtures(spark, tmp_path):
     assert rep.low_sales_days == spark.read.parquet(f"{tmp_path}/gold/daily_revenue").count()
     city = spark.read.parquet(f"{tmp_path}/gold/revenue_by_city")
     assert {r["city"] for r in city.collect()} == {"Pune", "Delhi"}
+
+
+def test_job_command_line(spark, tmp_path, capsys):
+    import json
+
+    from ledgerline.plans.job import main
+
+    rc = main(
+        [
+            "--sales", f"{FIXTURES}/sales.csv",
+            "--customers", f"{FIXTURES}/customers.csv",
+            "--products", f"{FIXTURES}/products.csv",
+            "--out", str(tmp_path),
+        ]
+    )
+    assert rc == 0
+    report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert report["silver"]["sales"] == 8
+    assert report["gold"]["revenue_by_city"] == 2
