@@ -118,14 +118,14 @@ class Retail:
     def customers(self) -> DataFrame:
         def build():
             df = tables.customers_from_tables(self.spark, self.sf_dir)
-            return self._landed("silver/customers", df) if self.materialize else df
+            return self._landed("dims/customers", df) if self.materialize else df
 
         return self._frame("customers", build)
 
     def products(self) -> DataFrame:
         def build():
             df = tables.products_from_tables(self.spark, self.sf_dir)
-            return self._landed("silver/products", df) if self.materialize else df
+            return self._landed("dims/products", df) if self.materialize else df
 
         return self._frame("products", build)
 
@@ -141,7 +141,7 @@ class Retail:
     def events(self) -> DataFrame:
         def build():
             df = tables.events_from_tables(self.spark, self.sf_dir)
-            return self._landed("silver/events", df) if self.materialize else df
+            return self._landed("events/typed", df) if self.materialize else df
 
         return self._frame("events", build)
 
