@@ -54,9 +54,19 @@ def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables (``spark.checkpoint.dir``)."""
+    """The shared folder for intermediate tables (``spark.checkpoint.dir``).
+
+    When the setting is absent, a local folder is created only in local mode
+    (tests); on a cluster a machine-local folder would not be visible to the
+    executors, so that is an error.
+    """
     base = _configured_checkpoint_dir(spark)
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: point it at a folder shared by all executors"
+            )
         base = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
