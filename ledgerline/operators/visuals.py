@@ -87,3 +87,47 @@ def segment_summary(fact: DataFrame, customers: DataFrame) -> DataFrame:
         F.coalesce(avg_money("total", "n_txn"), F.lit(0.0)).alias("average_order_value"),
         "customer_count",
     )
+
+
+# The dashboard pages and their visuals (page, visual type, axis / measure).
+DASHBOARD_LAYOUT = (
+    ("Executive Overview", (("KPI Cards", "Total Sales, Average Order Value, Sales Growth %, Customer Count"),)),
+    ("Sales by Geography", (("Filled Map", "city x Total Sales"), ("Bar Chart", "city x Total Sales"))),
+    ("Sales Trend", (("Line Chart", "month x Total Sales"), ("Area Chart", "month x Sales Growth %"))),
+    ("Top Products", (("Bar Chart", "brand x Total Sales"), ("Treemap", "category x Total Sales"))),
+    (
+        "Customer Segmentation",
+        (
+            ("Donut Chart", "segment x Total Sales"),
+            ("Table", "segment x Total Sales, Average Order Value, Customer Count"),
+        ),
+    ),
+)
+
+
+def dashboard(fact: DataFrame, customers: DataFrame, products: DataFrame) -> dict:
+    """Every visual of the dashboard as a lazy DataFrame: {page: {visual: DataFrame}}.
+
+    Visuals on one page that show the same data share one DataFrame (the map
+    and the bar chart of the geography page; both segmentation visuals read
+    the segment summary).
+    """
+    by_city = sales_by_city(fact, customers)
+    trend = sales_trend(fact)
+    segments = segment_summary(fact, customers)
+    return {
+        "Executive Overview": {"KPI Cards": executive_overview(fact)},
+        "Sales by Geography": {"Filled Map": by_city, "Bar Chart": by_city},
+        "Sales Trend": {
+            "Line Chart": trend.select("month", "total_sales"),
+            "Area Chart": trend.select("month", "sales_growth"),
+        },
+        "Top Products": {
+            "Bar Chart": sales_by_brand(fact, products),
+            "Treemap": sales_by_category(fact, products),
+        },
+        "Customer Segmentation": {
+            "Donut Chart": segments.select("segment", "total_sales"),
+            "Table": segments,
+        },
+    }

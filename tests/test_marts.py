@@ -130,3 +130,14 @@ def test_invariant_city_sum_equals_enriched_total(retail_csv):
     city_total = sum(r["total_revenue"] for r in marts.gold_revenue_by_city(e).collect())
     enriched_total = e.agg(F.sum("revenue")).first()[0]
     assert round(city_total, 2) == float(enriched_total)
+
+
+def test_dashboard_covers_the_layout(retail_csv):
+    clean = _clean(retail_csv)
+    pages = visuals.dashboard(clean, retail_csv["customers"], retail_csv["products"])
+    layout = {page: {v for v, _ in vis} for page, vis in visuals.DASHBOARD_LAYOUT}
+    assert {p: set(v) for p, v in pages.items()} == layout
+    kpi = pages["Executive Overview"]["KPI Cards"].first()
+    assert (kpi["total_sales"], kpi["average_order_value"], kpi["customer_count"]) == (579.81, 82.83, 3)
+    donut = {r["segment"]: r["total_sales"] for r in pages["Customer Segmentation"]["Donut Chart"].collect()}
+    assert donut == {"Gold": 551.51, "Silver": 0.6, None: 28.0}
