@@ -21,10 +21,6 @@ from ledgerline.functions.timecols import calendar_date, month_label
 from ledgerline.schemas import ENRICHED_COLUMNS
 
 
-def _count() -> "F.Column":
-    return F.count(F.lit(1))
-
-
 # ---------------------------------------------------------------- joins
 
 def enrich(sales: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
