@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import time
 from decimal import Decimal
 
 import pytest
@@ -16,13 +17,26 @@ HEADER = "transaction_id,customer_id,product_id,store_id,quantity,price,timestam
 BASE = dt.datetime(2024, 1, 1, 0, 0, 0)
 
 
+_ARRIVAL = [0]
+
+
 def _write_batch(directory, name, minute, quantities):
+    """Write one input file; files "arrive" in call order.
+
+    The file source orders new files by modification time, and files written
+    in the same instant can share one, so each file gets a strictly later
+    mtime than the previous one to make the arrival order explicit.
+    """
     lines = [HEADER]
     for i, (product, qty) in enumerate(quantities):
         ts = BASE + dt.timedelta(minutes=minute, seconds=5 * i)
         lines.append(f"T{minute:02d}{i},C1,{product},S1,{qty},10.00,{ts:%Y-%m-%d %H:%M:%S}\n")
-    with open(os.path.join(directory, name), "w") as f:
+    path = os.path.join(directory, name)
+    with open(path, "w") as f:
         f.writelines(lines)
+    _ARRIVAL[0] += 1
+    arrival = time.time() - 100000 + _ARRIVAL[0] * 10
+    os.utime(path, (arrival, arrival))
 
 
 FOUR_ROWS = [("P1", 1), ("P2", 2), ("P1", 3), ("P2", 4)]
