@@ -56,6 +56,19 @@ def main(argv):
     print("plan (hash / single-partition for the final merge of a global aggregate); reused counts")
     print("`ReusedExchange` / `ReusedSubquery` nodes. Scans name the files read: driver tables or the")
     print("layers written once per session (`silver/sales`, `dims/customers`, `gold/enriched_sales`, ...).\n")
+    print("How these shapes behave at ~100 TB:\n")
+    print("- *One hash exchange over `silver/sales` or `gold/enriched_sales`*: a column-pruned scan with")
+    print("  map-side partial aggregation; the shuffle carries at most one row per group per task, so a")
+    print("  hot group does not concentrate data.")
+    print("- *Single-partition exchange*: only the final merge of a global aggregate (one partial row per")
+    print("  task), never raw rows.")
+    print("- *BroadcastHashJoin*: the broadcast side is a written dimension whose real size the planner")
+    print("  checked against `spark.sql.autoBroadcastJoinThreshold`; above it the same plan becomes a")
+    print("  sort-merge join with AQE skew splitting (see `tests/test_skew.py`).")
+    print("- *Reused*: subqueries (MTD latest date, spike baseline) read the main query's shuffle output")
+    print("  instead of recomputing it.")
+    print("- *lineitem, orders*: only the two raw-row audits and the silver build read the driver tables;")
+    print("  everything else reads layers written once per session.\n")
     print("| Key | Exchanges (hash/single) | Joins | Reused | Top-k fused | Python | Inputs |")
     print("|---|---|---|---|---|---|---|")
     for key, q in contract.queries().items():
