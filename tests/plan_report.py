@@ -54,7 +54,7 @@ def main(argv):
     print(f"# Executed plans at `{sf_dir}` (final AQE plans, local[8])\n")
     print("Generated by `python tests/plan_report.py`. Exchanges count shuffle boundaries in the final")
     print("plan (hash / single-partition for the final merge of a global aggregate); reused counts")
-    print("`ReusedExchange` / `ReusedSubquery` nodes. Scans name the files read: driver tables or the")
+    print("`ReusedExchange` / `ReusedSubquery` nodes. Inputs name what a query reads: driver tables or the")
     print("layers written once per session (`silver/sales`, `dims/customers`, `gold/enriched_sales`, ...).\n")
     print("How these shapes behave at ~100 TB:\n")
     print("- *One hash exchange over `silver/sales` or `gold/enriched_sales`*: a column-pruned scan with")
