@@ -58,3 +58,20 @@ def relationship_report(fact: DataFrame, customers: DataFrame, products: DataFra
         "duplicate_customers": duplicate_keys(customers, "customer_id"),
         "duplicate_products": duplicate_keys(products, "product_id"),
     }
+
+
+# The columns of the fact sample shown to model users.
+SAMPLE_COLUMNS = ("transaction_id", "customer_id", "product_id", "revenue", "city", "segment", "category")
+
+
+def fact_sample(enriched: DataFrame, n: int = 5) -> DataFrame:
+    """A few enriched fact rows for inspection (the limit is the feature).
+
+    Ordered by transaction and product so the sample is reproducible; the
+    sort + limit plans as a per-task top-n, not a global sort.
+    """
+    return (
+        enriched.select(*SAMPLE_COLUMNS)
+        .orderBy("transaction_id", "product_id", "customer_id")
+        .limit(n)
+    )

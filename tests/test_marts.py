@@ -141,3 +141,12 @@ def test_dashboard_covers_the_layout(retail_csv):
     assert (kpi["total_sales"], kpi["average_order_value"], kpi["customer_count"]) == (579.81, 82.83, 3)
     donut = {r["segment"]: r["total_sales"] for r in pages["Customer Segmentation"]["Donut Chart"].collect()}
     assert donut == {"Gold": 551.51, "Silver": 0.6, None: 28.0}
+
+
+def test_fact_sample(retail_csv):
+    from ledgerline.operators.star import SAMPLE_COLUMNS, fact_sample
+
+    e = marts.enrich(_clean(retail_csv), retail_csv["customers"], retail_csv["products"])
+    rows = fact_sample(e).collect()
+    assert len(rows) == 5 and tuple(rows[0].asDict()) == SAMPLE_COLUMNS
+    assert [r["transaction_id"] for r in rows] == ["T1", "T1", "T3", "T3", "T8"]
