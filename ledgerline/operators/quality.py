@@ -24,6 +24,7 @@ REASON_MALFORMED = "malformed"
 REASON_NULL_KEY = "null_key"
 REASON_NULL_NUMBER = "null_number"
 REASON_NON_POSITIVE = "non_positive"
+REASONS = (REASON_MALFORMED, REASON_NULL_KEY, REASON_NULL_NUMBER, REASON_NON_POSITIVE)
 
 
 def _any_null(cols: Iterable[str]) -> Column:

@@ -66,9 +66,12 @@ def run_batch_job(
         },
         out_root,
     )
-    clean = quality.clean_sales(sales_raw, params)
-    report.rejected = {r["reason"]: r["n"] for r in quality.rejected_rows(sales_raw, params).collect()}
-    report.silver = lakehouse.write_silver(clean, customers, products, out_root)
+    # One read of the sales input: silver is written and rejects are counted
+    # by reason in the same job.
+    n_sales, report.rejected = lakehouse.write_silver_sales_counting_rejects(
+        sales_raw, out_root, params
+    )
+    report.silver = {"sales": n_sales, **lakehouse.write_silver_dims(customers, products, out_root)}
 
     # Downstream layers read the written silver tables, not the CSV plans.
     silver_sales = lakehouse.read_silver_sales(spark, out_root)

@@ -16,8 +16,9 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.operators import marts, star
+from ledgerline.operators import marts, quality, star
 from ledgerline.operators.quality import dimension
+from ledgerline.params import RetailParams
 from ledgerline.schemas import silver_sales_schema
 
 
@@ -58,14 +59,26 @@ def write_silver_sales(clean: DataFrame, root: str) -> int:
     return _write_observed(rebalance_by_store(clean), f"{root}/silver/sales", "silver_sales", "store_id")
 
 
-def write_silver(
-    clean: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    root: str,
-) -> dict[str, int]:
+def write_silver_sales_counting_rejects(
+    raw: DataFrame, root: str, params: RetailParams = RetailParams()
+) -> tuple[int, dict[str, int]]:
+    """Clean raw sales and write silver, counting rejects by reason in the same job.
+
+    The reject counts are observed on the raw rows inside the write job, so
+    the input is read once for both the silver table and the reject report.
+    Returns (rows written, {reason: n} for reasons that occurred).
+    """
+    reason = quality.reject_reason(raw, params)
+    obs = Observation("silver_rejects")
+    counted = raw.observe(obs, *[F.count_if(reason == F.lit(r)).alias(r) for r in quality.REASONS])
+    written = write_silver_sales(quality.clean_sales(counted, params), root)
+    rejects = {k: int(v) for k, v in obs.get.items() if v}
+    return written, rejects
+
+
+def write_silver_dims(customers: DataFrame, products: DataFrame, root: str) -> dict[str, int]:
+    """Silver dimensions: key present (K3); duplicates are kept and reported."""
     return {
-        "sales": write_silver_sales(clean, root),
         "customers": _write_observed(
             dimension(customers, "customer_id"), f"{root}/silver/customers", "silver_customers"
         ),
@@ -75,6 +88,15 @@ def write_silver(
     }
 
 
+def write_silver(
+    clean: DataFrame,
+    customers: DataFrame,
+    products: DataFrame,
+    root: str,
+) -> dict[str, int]:
+    return {"sales": write_silver_sales(clean, root), **write_silver_dims(customers, products, root)}
+
+
 def read_silver_sales(
     spark: SparkSession, root: str, store: str | None = None, timestamp_type=None
 ) -> DataFrame:
