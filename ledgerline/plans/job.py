@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 import json
+from decimal import Decimal
 from dataclasses import dataclass, field
 
 from pyspark.sql import SparkSession
@@ -99,9 +100,14 @@ def main(argv=None) -> int:
     ap.add_argument("--customers", required=True)
     ap.add_argument("--products", required=True)
     ap.add_argument("--out", required=True)
+    ap.add_argument("--alert-threshold", type=Decimal, default=RetailParams().sales_alert_threshold,
+                    help="daily revenue below this raises a low-sales alert")
+    ap.add_argument("--price-floor", type=Decimal, default=RetailParams().price_floor,
+                    help="a sale is valid only when price is above this")
     args = ap.parse_args(argv)
+    params = RetailParams(sales_alert_threshold=args.alert_threshold, price_floor=args.price_floor)
     spark = SparkSession.builder.getOrCreate()
-    report = run_batch_job(spark, args.sales, args.customers, args.products, args.out)
+    report = run_batch_job(spark, args.sales, args.customers, args.products, args.out, params)
     print(json.dumps(report.__dict__, default=str))
     return 0
 

@@ -53,9 +53,14 @@ def test_job_command_line(spark, tmp_path, capsys):
             "--customers", f"{FIXTURES}/customers.csv",
             "--products", f"{FIXTURES}/products.csv",
             "--out", str(tmp_path),
+            "--price-floor", "1.00",
+            "--alert-threshold", "10",
         ]
     )
     assert rc == 0
     report = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
-    assert report["silver"]["sales"] == 8
-    assert report["gold"]["revenue_by_city"] == 2
+    # T3 (0.10) and TA (0.11) now fall under the price floor
+    assert report["silver"]["sales"] == 6
+    assert report["rejected"]["non_positive"] == 3
+    assert report["low_sales_days"] == 2  # 03-31 (5.00) and the undated day (6.00); 01-01 is 40.40
+    assert report["gold"]["revenue_by_city"] == 1  # T3, the only Delhi sale, is under the floor
