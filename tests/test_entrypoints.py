@@ -64,3 +64,20 @@ def test_job_command_line(spark, tmp_path, capsys):
     assert report["rejected"]["non_positive"] == 3
     assert report["low_sales_days"] == 2  # 03-31 (5.00) and the undated day (6.00); 01-01 is 40.40
     assert report["gold"]["revenue_by_city"] == 1  # T3, the only Delhi sale, is under the floor
+
+
+def test_observed_rejects_equal_the_reject_report(spark, tmp_path):
+    from decimal import Decimal
+
+    from ledgerline.operators import quality
+    from ledgerline.params import RetailParams
+    from ledgerline.plans import lakehouse
+    from ledgerline.sources import read_sales_csv
+
+    raw = read_sales_csv(spark, f"{FIXTURES}/sales.csv")
+    for floor in ("0", "1.00", "10.00"):
+        params = RetailParams(price_floor=Decimal(floor))
+        written, observed = lakehouse.write_silver_sales_counting_rejects(raw, f"{tmp_path}/{floor}", params)
+        report = {r["reason"]: r["n"] for r in quality.rejected_rows(raw, params).collect()}
+        assert observed == report
+        assert written == quality.clean_sales(raw, params).count()
