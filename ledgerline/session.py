@@ -9,7 +9,6 @@ tests) is a local folder created and registered.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -73,8 +72,5 @@ def shared_root(spark: SparkSession) -> str:
 
 
 def shared_dir(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique sub-folder of the shared root (never reused)."""
-    path = "/".join([shared_root(spark), "ledgerline", *parts, uuid.uuid4().hex])
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    """A fresh, unique sub-folder of the shared root (never reused; Spark's writers create it)."""
+    return "/".join([shared_root(spark), "ledgerline", *parts, uuid.uuid4().hex])
