@@ -20,7 +20,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 # A pre-token never spans two of these: a run without white space, with at most
 # one space before it, or the white space between such runs.
 CHUNK = rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 100_000
 
 
 def read_vocabulary(path: str = VOCABULARY) -> bytes:
@@ -28,35 +28,34 @@ def read_vocabulary(path: str = VOCABULARY) -> bytes:
         return f.read()
 
 
+def encoding(vocabulary: bytes):
+    import tiktoken
+
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+    return tiktoken.Encoding("byte_bpe", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={})
+
+
+class Encoder:
+    """Token ids of whole texts, as arrays."""
+
+    def __init__(self, vocabulary: bytes):
+        self.encode = encoding(vocabulary).encode_to_numpy
+
+    def ids(self, text: str | None):
+        return self.encode(text or "", disallowed_special=())
+
+
 class Chunks:
-    """Encodes a text chunk by chunk; what a chunk gives is kept in a bounded cache."""
+    """Splits a text into pre-tokens chunk by chunk; the first chunks met are kept in a bounded cache."""
 
     def __init__(self, vocabulary: bytes):
         import regex
-        import tiktoken
 
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
-        self.encoding = tiktoken.Encoding(
-            "byte_bpe", pat_str=PRETOKEN, mergeable_ranks=ranks, special_tokens={}
-        )
+        self.encoding = encoding(vocabulary)
         self.pretokens = regex.compile(PRETOKEN).findall
         self.split = re.compile(CHUNK).findall
-        self._ids: dict[str, list[int]] = {}
         self._leaves: dict[str, tuple] = {}
 
-    def ids(self, text: str) -> list[int]:
-        """The token ids of a text."""
-        out: list[int] = []
-        cache, encode = self._ids, self.encoding.encode_ordinary
-        for chunk in self.split(text):
-            got = cache.get(chunk)
-            if got is None:
-                if len(cache) >= CACHE_ENTRIES:
-                    cache.clear()
-                got = cache[chunk] = encode(chunk)
-            out += got
-        return out
-
     def leaves(self, text: str) -> tuple[list[int], list[int]]:
         """(characters, tokens) of each pre-token of a text, in order."""
         chars: list[int] = []
@@ -65,10 +64,10 @@ class Chunks:
         for chunk in self.split(text):
             got = cache.get(chunk)
             if got is None:
-                if len(cache) >= CACHE_ENTRIES:
-                    cache.clear()
                 parts = self.pretokens(chunk)
-                got = cache[chunk] = ([len(p) for p in parts], [len(encode(p)) for p in parts])
+                got = ([len(p) for p in parts], [len(encode(p)) for p in parts])
+                if len(cache) < CACHE_ENTRIES:
+                    cache[chunk] = got
             chars += got[0]
             tokens += got[1]
         return chars, tokens
