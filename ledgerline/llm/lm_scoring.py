@@ -160,6 +160,13 @@ class Vocabulary:
     def size(self) -> int:
         return len(self.unigram)
 
+    def index(self, hot: dict[bytes, int]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
+        """Numbers of the hot words, and by number the id and log10(c + 1); the last entry is for others."""
+        numbers = {w: i for i, w in enumerate(hot)}
+        ids = [self.ids[w] if w in self.ids else self.size + rare_class(w) for w in hot]
+        logs = np.log10(np.array([*hot.values(), 0], dtype=np.float64) + 1)
+        return numbers, np.array([*ids, -1], np.int64), logs
+
     @property
     def classes(self) -> int:
         return len(self.starts) - 1
@@ -218,9 +225,9 @@ def new_weights(v: Vocabulary, p: LmParams) -> dict[str, np.ndarray]:
         "h": size(h, 3 * h),
         "b": np.zeros(3 * h, np.float32),
         "c": size(h, outs),
-        "cb": np.log(by_class + 0.5).astype(np.float32),
+        "cb": np.log((by_class + 0.5) / (by_class + 0.5).sum()).astype(np.float32),
         "w": size(v.size, h),
-        "wb": np.log(v.unigram + 0.5).astype(np.float32),
+        "wb": np.log((v.unigram + 0.5) / max(v.unigram.sum(), 1)).astype(np.float32),
     }
 
 
@@ -240,6 +247,25 @@ def gru_step(weights, word, state):
     return r, z, n, hn, (1 - z) * n + z * state
 
 
+def _softmax(states, matrix, bias, rows, chosen):
+    """exp of the logits, their sums, and the logits chosen.
+
+    Biases are log shares and states lie within (-1, 1), so exp is far from
+    its limits; only where it is not, the largest logit is taken off first.
+    """
+    logits = states @ matrix
+    logits += bias
+    own = logits[rows, chosen]
+    e = np.exp(logits)
+    total = e.sum(axis=1)
+    if not (np.isfinite(total).all() and total.all()):
+        logits -= logits.max(axis=1, keepdims=True)
+        own = logits[rows, chosen]
+        e = np.exp(logits)
+        total = e.sum(axis=1)
+    return e, total, own
+
+
 def output_losses(weights, starts, states, target, grads=None):
     """-ln P of each target id, given the states.
 
@@ -250,12 +276,9 @@ def output_losses(weights, starts, states, target, grads=None):
     size, classes = int(starts[-1]), len(starts) - 1
     is_rare = target >= size
     cls = np.where(is_rare, target - size + classes, np.searchsorted(starts, target, side="right") - 1)
-    logits = states @ weights["c"] + weights["cb"]
-    logits -= logits.max(axis=1, keepdims=True)
-    e = np.exp(logits)
-    total = e.sum(axis=1)
     rows = np.arange(len(target))
-    loss = np.log(total) - logits[rows, cls]
+    e, total, own = _softmax(states, weights["c"], weights["cb"], rows, cls)
+    loss = np.log(total) - own
     back = None
     if grads is not None:
         d = e / total[:, None]
@@ -270,17 +293,13 @@ def output_losses(weights, starts, states, target, grads=None):
         lo, hi = int(starts[k]), int(starts[k + 1])
         if hi - lo == 1:
             continue
-        own = target[at] - lo
+        rows, word = np.arange(len(at)), target[at] - lo
         s = states[at]
-        logits = s @ weights["w"][lo:hi].T + weights["wb"][lo:hi]
-        logits -= logits.max(axis=1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(axis=1)
-        rows = np.arange(len(at))
-        loss[at] += np.log(total) - logits[rows, own]
+        e, total, own = _softmax(s, weights["w"][lo:hi].T, weights["wb"][lo:hi], rows, word)
+        loss[at] += np.log(total) - own
         if grads is not None:
             d = e / total[:, None]
-            d[rows, own] -= 1
+            d[rows, word] -= 1
             grads["w"][lo:hi] += d.T @ s
             grads["wb"][lo:hi] += d.sum(axis=0)
             back[at] += d @ weights["w"][lo:hi]
@@ -334,9 +353,10 @@ def fit(weights, starts, docs: list[np.ndarray], p: LmParams):
         w, y = words[t : t + p.window], targets[t : t + p.window]
         _, grads, state = train_window(weights, starts, w, y, state)
         for k, g in grads.items():
-            g /= w.size ** 0.5
-            seen[k] += g * g
-            weights[k] -= p.rate * g / np.sqrt(seen[k])
+            at = np.unique(w) if k == "x" else slice(None)  # other inputs have no gradient
+            g = g[at] / w.size**0.5
+            seen[k][at] += g * g
+            weights[k][at] -= p.rate * g / np.sqrt(seen[k][at])
     return steps * width
 
 
@@ -462,29 +482,31 @@ def score_documents(
     @F.pandas_udf(shape)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         w, voc, hot_n = shared.value
+        numbers, id_of, log_of = voc.index(hot_n)
+        other, end = len(hot_n), log_of[numbers[END]] if END in numbers else 0.0
         for series in batches:
             rows, ids = [], []
             for t in series:
                 tokens = ascii_words(t)
-                own = word_ids(tokens, voc.ids, voc.size)
+                at = np.array([numbers.get(x, other) for x in tokens], np.int64)
+                own, logs = np.append(id_of[at], 0), log_of[at]
+                rest: Counter = Counter()
+                for i in np.flatnonzero(at == other).tolist():
+                    own[i] = voc.size + rare_class(tokens[i])
+                    rest[tokens[i]] += 1
                 ids.append(own)
-                known, low, part, rest = 0, 0.0, 0.0, []
-                for token, k in Counter(tokens).items():
-                    c = hot_n.get(token)
-                    if c is None:
-                        rest.append((token, k))
-                        low -= k * base
-                    else:
-                        known += k
-                        low += k * (np.log10(c + 1) - base)
-                        if token not in voc.ids:
-                            part += k * np.log10(c + 1)
-                c = hot_n.get(END, 0)
-                known += END in hot_n
-                low += np.log10(c + 1) - base
-                part -= rare_base[own[own >= voc.size] - voc.size].sum()
+                rare = own >= voc.size
+                part = logs[rare[:-1]].sum() - rare_base[own[rare] - voc.size].sum()
+                known = len(tokens) - sum(rest.values()) + (END in numbers)
                 rows.append(
-                    (len(own), known, low, part, [x.decode() for x, _ in rest], [k for _, k in rest])
+                    (
+                        len(own),
+                        known,
+                        logs.sum() + end - base * len(own),
+                        part,
+                        [x.decode() for x in rest],
+                        list(rest.values()),
+                    )
                 )
             out = pd.DataFrame(rows, columns=["n_tokens", "known", "base", "score", "words", "times"])
             if voc.size:
