@@ -82,12 +82,12 @@ def monthly_trend(sales: DataFrame) -> DataFrame:
 
 def revenue_by_city(sales: DataFrame, customers: DataFrame) -> DataFrame:
     """(city, total_revenue DECIMAL, total_transactions) over sales x customers."""
-    joined = sales.select("customer_id", "transaction_id", "revenue").join(
-        customers.select("customer_id", "city"), "customer_id", "inner"
+    per_customer = sales.groupBy("customer_id").agg(
+        F.sum("revenue").alias("revenue"), F.count("transaction_id").alias("n")
     )
+    joined = per_customer.join(customers.select("customer_id", "city"), "customer_id", "inner")
     return joined.groupBy("city").agg(
-        F.sum("revenue").alias("total_revenue"),
-        F.count("transaction_id").alias("total_transactions"),
+        F.sum("revenue").alias("total_revenue"), F.sum("n").alias("total_transactions")
     )
 
 

@@ -34,7 +34,8 @@ from ledgerline.functions.timecols import calendar_date, month_start
 
 def sales_by(fact: DataFrame, dim: DataFrame, key: str, axis: str) -> DataFrame:
     """Total Sales per dimension attribute: (axis, total_sales DOUBLE)."""
-    joined = fact.select(key, "revenue").join(dim.select(key, axis), key, "left")
+    per_key = fact.groupBy(key).agg(F.sum("revenue").alias("revenue"))
+    joined = per_key.join(dim.select(key, axis), key, "left")
     return joined.groupBy(axis).agg(money_out(F.sum("revenue")).alias("total_sales"))
 
 
@@ -58,7 +59,8 @@ def customer_count(fact: DataFrame) -> DataFrame:
 
 def top_category(fact: DataFrame, products: DataFrame) -> DataFrame:
     """(top_category): the category with the highest Total Sales."""
-    by_cat = fact.select("product_id", "revenue").join(
+    per_product = fact.groupBy("product_id").agg(F.sum("revenue").alias("revenue"))
+    by_cat = per_product.join(
         products.select("product_id", "category"), "product_id", "left"
     )
     return (
@@ -74,22 +76,23 @@ def sales_growth_mtd(fact: DataFrame) -> DataFrame:
     """KPI form of Sales Growth %: (this_month, last_month, growth).
 
     d = latest sale date; this month = [first of d's month, d]; last month =
-    [first of the previous month, d - 1 month]. The fact is aggregated once
-    per day; the latest date (a scalar subquery) and both month-to-date sums
-    are read from that daily aggregate, whose shuffle Spark reuses, so the
-    fact is scanned once and no collect feeds a literal back into the plan.
+    [first of the previous month, d - 1 month]. The fact is aggregated once per
+    day; the days (as many as the calendar has) are gathered into one row, which
+    gives the latest date and both sums, so the fact is scanned once.
     """
     daily = fact.groupBy(calendar_date("timestamp").alias("d")).agg(
         F.sum("revenue").alias("revenue")
     )
-    last_day = daily.agg(F.max("d")).scalar()
-    prev_day = F.add_months(last_day, -1)
-    in_this = F.col("d").between(F.trunc(last_day, "MM"), last_day)
-    in_prev = F.col("d").between(F.trunc(prev_day, "MM"), prev_day)
-    sums = daily.agg(
-        F.coalesce(F.sum(F.when(in_this, F.col("revenue"))), F.lit(0)).alias("this_sum"),
-        F.coalesce(F.sum(F.when(in_prev, F.col("revenue"))), F.lit(0)).alias("last_sum"),
-    )
+    days = daily.agg(
+        F.max("d").alias("last_day"), F.collect_list(F.struct("d", "revenue")).alias("days")
+    ).withColumn("prev_day", F.add_months("last_day", -1))
+
+    def total(day: str):
+        inside = F.filter("days", lambda x: x["d"].between(F.trunc(day, "MM"), F.col(day)))
+        zero = F.lit(0).cast("decimal(38,2)")
+        return F.aggregate(inside, zero, lambda a, x: (a + x["revenue"]).cast("decimal(38,2)"))
+
+    sums = days.select(total("last_day").alias("this_sum"), total("prev_day").alias("last_sum"))
     return sums.select(
         money_out("this_sum").alias("this_month"),
         money_out("last_sum").alias("last_month"),
@@ -133,7 +136,8 @@ def revenue_by_segment(fact: DataFrame, customers: DataFrame) -> DataFrame:
     ALLEXCEPT(Customer, segment) does. It is a window sum over the aggregated
     (city, segment) rows, partitioned by segment.
     """
-    joined = fact.select("customer_id", "revenue").join(
+    per_customer = fact.groupBy("customer_id").agg(F.sum("revenue").alias("revenue"))
+    joined = per_customer.join(
         customers.select("customer_id", "city", "segment"), "customer_id", "left"
     )
     cells = joined.groupBy("city", "segment").agg(F.sum("revenue").alias("rev"))

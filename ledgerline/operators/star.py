@@ -13,18 +13,6 @@ from pyspark.sql import functions as F
 from ledgerline.operators.quality import dimension, duplicate_keys, orphan_keys
 from ledgerline.schemas import FACT_COLUMNS
 
-# The star model of the original application.
-MODEL = {
-    "fact": ("Sales", FACT_COLUMNS),
-    "dimensions": (
-        ("Customer", ("customer_id", "name", "city", "segment"), "customer_id"),
-        ("Product", ("product_id", "category", "brand"), "product_id"),
-    ),
-    "cardinality": "Many-to-One",
-    "cross_filter": "Single",
-}
-
-
 def fact_sales(clean: DataFrame) -> DataFrame:
     return clean.select(*FACT_COLUMNS)
 
@@ -72,6 +60,6 @@ def fact_sample(enriched: DataFrame, n: int = 5) -> DataFrame:
     """
     return (
         enriched.select(*SAMPLE_COLUMNS)
-        .orderBy("transaction_id", "product_id", "customer_id")
+        .orderBy("transaction_id", "product_id", "customer_id", "revenue")
         .limit(n)
     )

@@ -18,6 +18,7 @@ class RetailParams:
     spike_factor: Decimal = Decimal("2.0")  # window qty > mean qty * factor
     watermark_delay: str = "5 minutes"
     window_duration: str = "1 minute"
+    max_bytes_per_trigger: int = 1 << 30  # stream input of one micro-batch
     top_k_products: int = 10
     top_k_products_with_attrs: int = 5
 

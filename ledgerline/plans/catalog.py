@@ -32,9 +32,10 @@ from ledgerline.functions.money import money_out
 from ledgerline.operators import marts, measures, quality, star, visuals
 from ledgerline.params import RetailParams
 from ledgerline.plans import lakehouse
+from ledgerline.plans.sql_views import register_retail_views
 from ledgerline.schemas import ENRICHED_COLUMNS, FACT_COLUMNS, SALES_KEYS
-from ledgerline.session import shared_dir
-from ledgerline.sources import tables
+from ledgerline.session import fingerprint, is_complete, shared_dir, shared_root
+from ledgerline.sources import read_customers_csv, read_products_csv, read_raw_csv, read_sales_csv, sales_csv_stream, tables
 from ledgerline.streaming.demand import WINDOW_COLUMNS, demand_spikes, windowed_demand
 from ledgerline.streaming.runner import run_demand_stream
 
@@ -45,40 +46,34 @@ QUERY_PARAMS = RetailParams(
 )
 REJECT_PARAMS = QUERY_PARAMS.with_(price_floor=Decimal("5000.00"))
 SILVER_STORE = "S3"
+CSV_TIME = "yyyy-MM-dd HH:mm:ss"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Retail:
-    """Retail frames over one table directory, built once per session.
+    """Retail frames over one table directory.
 
-    With ``materialize=True`` (default) each layer is written once to a fresh
-    sub-folder of the shared folder and read back; with ``False`` the frames
-    are the direct lazy plans over the driver tables.
+    With ``materialize=True`` (default) each layer is written once, below a
+    folder named by a fingerprint of the source files and the parameters, and
+    read back; a layer that is already complete there (from any session that
+    shares the folder) is read as it is, and changed sources get a new folder.
+    With ``False`` the frames are the direct lazy plans over the driver tables.
     """
 
-    _cache: dict = {}
+    SOURCES = ("lineitem", "orders", "customer", "nation", "part", "events")
 
-    def __new__(
-        cls,
+    def __init__(
+        self,
         spark: SparkSession,
         sf_dir: str,
         params: RetailParams = QUERY_PARAMS,
         materialize: bool = True,
     ):
-        key = (id(spark), sf_dir.rstrip("/"), params, materialize)
-        inst = cls._cache.get(key)
-        if inst is None or inst.spark is not spark:
-            inst = super().__new__(cls)
-            inst.spark, inst.sf_dir, inst.params = spark, sf_dir, params
-            inst.materialize = materialize
-            inst._frames = {}
-            inst._root = None
-            cls._cache[key] = inst
-        return inst
-
-    def __init__(self, *args, **kwargs):
-        pass
+        self.spark, self.sf_dir, self.params = spark, sf_dir.rstrip("/"), params
+        self.materialize = materialize
+        self._frames: dict = {}
+        self._root: str | None = None
 
     def _frame(self, name, build):
         df = self._frames.get(name)
@@ -89,14 +84,24 @@ class Retail:
     @property
     def root(self) -> str:
         if self._root is None:
-            self._root = shared_dir(self.spark, "retail")
+            paths = [f"{self.sf_dir}/{t}.parquet" for t in self.SOURCES]
+            mark = fingerprint(self.spark, paths, self.params)
+            self._root = f"{shared_root(self.spark)}/ledgerline/retail/{mark}"
         return self._root
 
-    def _landed(self, layer: str, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{layer}"
-        df.write.mode("overwrite").parquet(path)
+    def _landed(self, layer: str, build) -> DataFrame:
+        """The layer as stored; ``build()`` gives its rows where it is not there yet."""
+        path, df = f"{self.root}/{layer}", build()
+        if not is_complete(self.spark, path):
+            df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def mart(self, name: str, build) -> DataFrame:
+        """A gold mart: written once, read back (direct plan without layers)."""
+        return self._frame(
+            f"mart {name}", lambda: self._landed(f"gold/{name}", build) if self.materialize else build()
+        )
+
     # -- raw: the adapter rows as they come from the driver tables
     def raw_sales(self) -> DataFrame:
         return self._frame("raw_sales", lambda: tables.sales_from_tables(self.spark, self.sf_dir))
@@ -107,7 +112,8 @@ class Retail:
             clean = quality.clean_sales(self.raw_sales(), self.params)
             if not self.materialize:
                 return clean
-            lakehouse.write_silver_sales(clean, self.root)
+            if not is_complete(self.spark, f"{self.root}/silver/sales"):
+                lakehouse.write_silver_sales(clean, self.root)
             ts_type = clean.schema["timestamp"].dataType
             return lakehouse.read_silver_sales(self.spark, self.root, timestamp_type=ts_type).select(
                 *FACT_COLUMNS
@@ -117,15 +123,15 @@ class Retail:
 
     def customers(self) -> DataFrame:
         def build():
-            df = tables.customers_from_tables(self.spark, self.sf_dir)
-            return self._landed("dims/customers", df) if self.materialize else df
+            df = quality.dimension(tables.customers_from_tables(self.spark, self.sf_dir), "customer_id")
+            return self._landed("silver/customers", lambda: df) if self.materialize else df
 
         return self._frame("customers", build)
 
     def products(self) -> DataFrame:
         def build():
-            df = tables.products_from_tables(self.spark, self.sf_dir)
-            return self._landed("dims/products", df) if self.materialize else df
+            df = quality.dimension(tables.products_from_tables(self.spark, self.sf_dir), "product_id")
+            return self._landed("silver/products", lambda: df) if self.materialize else df
 
         return self._frame("products", build)
 
@@ -133,7 +139,7 @@ class Retail:
     def enriched(self) -> DataFrame:
         def build():
             df = marts.enrich(self.sales(), self.customers(), self.products())
-            return self._landed("gold/enriched_sales", df) if self.materialize else df
+            return self._landed("gold/enriched_sales", lambda: df) if self.materialize else df
 
         return self._frame("enriched", build)
 
@@ -141,10 +147,29 @@ class Retail:
     def events(self) -> DataFrame:
         def build():
             df = tables.events_from_tables(self.spark, self.sf_dir)
-            return self._landed("events/typed", df) if self.materialize else df
+            return self._landed("events/typed", lambda: df) if self.materialize else df
 
         return self._frame("events", build)
 
+    # -- the raw rows as CSV files, as a source system would deliver them
+    def csv(self, name: str) -> str:
+        """The folder of CSV files of ``sales``, ``customers``, ``products`` or ``events``."""
+        path = f"{self.root}/csv/{name}"
+        if not is_complete(self.spark, path):
+            raw = {
+                "sales": self.raw_sales,
+                "customers": lambda: tables.customers_from_tables(self.spark, self.sf_dir),
+                "products": lambda: tables.products_from_tables(self.spark, self.sf_dir),
+                "events": lambda: tables.events_from_tables(self.spark, self.sf_dir),
+            }[name]()
+            if "timestamp" in raw.columns:
+                raw = raw.withColumn("timestamp", F.date_format("timestamp", CSV_TIME))
+            raw.write.mode("overwrite").option("header", True).csv(path)
+        return path
+
+    def csv_sales(self) -> DataFrame:
+        return self._frame("csv_sales", lambda: read_sales_csv(self.spark, self.csv("sales")))
+
     def prepare(self) -> "Retail":
         """Build every layer now (otherwise each is built on first use)."""
         self.enriched()
@@ -209,24 +234,89 @@ def q_monthly_trend(spark, sf_dir):
 # ------------------------------------------------------------------ gold
 
 def q_gold_revenue_by_city(spark, sf_dir):
-    return marts.gold_revenue_by_city(Retail(spark, sf_dir).enriched())
+    r = Retail(spark, sf_dir)
+    return r.mart("revenue_by_city", lambda: marts.gold_revenue_by_city(r.enriched()))
 
 
 def q_gold_revenue_by_category(spark, sf_dir):
-    return marts.gold_revenue_by_category(Retail(spark, sf_dir).enriched())
+    r = Retail(spark, sf_dir)
+    return r.mart("revenue_by_category", lambda: marts.gold_revenue_by_category(r.enriched()))
 
 
 def q_gold_customer_segments(spark, sf_dir):
-    return marts.gold_customer_segments(Retail(spark, sf_dir).enriched())
+    r = Retail(spark, sf_dir)
+    return r.mart("customer_segments", lambda: marts.gold_customer_segments(r.enriched()))
 
 
 def q_gold_monthly_trend(spark, sf_dir):
-    return marts.gold_monthly_trend(Retail(spark, sf_dir).enriched())
+    r = Retail(spark, sf_dir)
+    return r.mart("monthly_trend", lambda: marts.gold_monthly_trend(r.enriched()))
 
 
 def q_fact_sales(spark, sf_dir):
-    return _fact_out(star.fact_sales(Retail(spark, sf_dir).sales()))
+    """The published gold fact, as written and read back."""
+    r = Retail(spark, sf_dir)
+    return _fact_out(r.mart("fact_sales", lambda: star.fact_sales(r.sales())))
+
+
+def q_dim_customer(spark, sf_dir):
+    return star.dim_customer(Retail(spark, sf_dir).customers())
+
+
+def q_dim_product(spark, sf_dir):
+    return star.dim_product(Retail(spark, sf_dir).products())
+
+
+def q_dim_date(spark, sf_dir):
+    return star.dim_date(Retail(spark, sf_dir).sales())
+
+
+def q_fact_sample(spark, sf_dir):
+    sample = star.fact_sample(Retail(spark, sf_dir).enriched())
+    return marts.with_money_out(sample, "revenue")
+
+
+# ------------------------------------------------------------------ CSV, bronze, views
 
+def q_csv_clean_sales(spark, sf_dir):
+    """Cleaned sales read from CSV files (text timestamps parsed)."""
+    r = Retail(spark, sf_dir)
+    clean = quality.clean_sales(r.csv_sales(), r.params)
+    return _fact_out(clean).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
+def q_csv_rejected_rows(spark, sf_dir):
+    return quality.rejected_rows(Retail(spark, sf_dir).csv_sales(), REJECT_PARAMS)
+
+
+def q_csv_profile(spark, sf_dir):
+    """Row and null-key counts of the three CSV inputs, after their frame checks."""
+    r = Retail(spark, sf_dir)
+    frames = {
+        "sales": (r.csv_sales(), SALES_KEYS),
+        "customers": (read_customers_csv(spark, r.csv("customers")), ("customer_id",)),
+        "products": (read_products_csv(spark, r.csv("products")), ("product_id",)),
+    }
+    for name, (df, keys) in frames.items():
+        quality.check_frame(df, name, keys)
+    return quality.table_profile(frames)
+
+
+def q_bronze_sales(spark, sf_dir):
+    """Raw sales landed as bronze (every field a string) and read back."""
+    r = Retail(spark, sf_dir)
+    if not is_complete(spark, f"{r.root}/bronze/sales"):
+        lakehouse.land_bronze(spark, {"sales": read_raw_csv(spark, r.csv("sales"))}, r.root)
+    return spark.read.parquet(f"{r.root}/bronze/sales")
+
+
+def q_view_store_revenue(spark, sf_dir):
+    """Revenue per store in Spark SQL over the registered views."""
+    r = Retail(spark, sf_dir)
+    register_retail_views(spark, r.sales(), r.customers(), r.products())
+    return spark.sql(
+        "SELECT store_id, CAST(SUM(revenue) AS DOUBLE) AS revenue, COUNT(*) AS n FROM sales GROUP BY store_id"
+    )
 
 # ------------------------------------------------------------------ alerts and quality
 
@@ -269,6 +359,18 @@ def q_duplicate_products(spark, sf_dir):
     return quality.duplicate_keys(Retail(spark, sf_dir).products(), "product_id")
 
 
+def q_orphan_orders(spark, sf_dir):
+    """Orders without any line: (transaction_id, n_sales)."""
+    orders = tables.read_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("transaction_id"))
+    lines = tables.read_table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("transaction_id"))
+    return quality.orphan_keys(orders, lines.distinct(), "transaction_id")
+
+
+def q_duplicate_lines(spark, sf_dir):
+    lines = tables.read_table(spark, sf_dir, "lineitem")
+    return quality.duplicate_keys(lines, "l_orderkey", "l_linenumber")
+
+
 # ------------------------------------------------------------------ lakehouse
 
 def q_silver_store_sales(spark, sf_dir):
@@ -363,10 +465,11 @@ def q_demand_spikes(spark, sf_dir):
     return demand_spikes(windows, r.params.spike_factor)
 
 
-def _run_stream(spark, sf_dir) -> str:
+def _run_stream(spark, sf_dir, stream: DataFrame | None = None) -> str:
     p = QUERY_PARAMS
     root = shared_dir(spark, "stream")
-    stream = tables.events_stream_from_tables(spark, sf_dir)
+    if stream is None:
+        stream = tables.events_stream_from_tables(spark, sf_dir, p.max_bytes_per_trigger)
     run_demand_stream(
         stream,
         sink_path=f"{root}/output",
@@ -405,6 +508,12 @@ def q_stream_demand_spikes(spark, sf_dir):
     return demand_spikes(_read_sink(spark, _run_stream(spark, sf_dir)), QUERY_PARAMS.spike_factor)
 
 
+def q_csv_stream_windowed_demand(spark, sf_dir):
+    """The stream over a directory of CSV files (text timestamps)."""
+    stream = sales_csv_stream(spark, Retail(spark, sf_dir).csv("events"))
+    return _read_sink(spark, _run_stream(spark, sf_dir, stream))
+
+
 QUERIES: dict[str, Query] = {
     "revenue_by_city": q_revenue_by_city,
     "clean_sales": q_clean_sales,
@@ -445,4 +554,16 @@ QUERIES: dict[str, Query] = {
     "demand_spikes": q_demand_spikes,
     "stream_windowed_demand": q_stream_windowed_demand,
     "stream_demand_spikes": q_stream_demand_spikes,
+    "csv_stream_windowed_demand": q_csv_stream_windowed_demand,
+    "csv_clean_sales": q_csv_clean_sales,
+    "csv_rejected_rows": q_csv_rejected_rows,
+    "csv_profile": q_csv_profile,
+    "bronze_sales": q_bronze_sales,
+    "view_store_revenue": q_view_store_revenue,
+    "orphan_orders": q_orphan_orders,
+    "duplicate_lines": q_duplicate_lines,
+    "dim_customer": q_dim_customer,
+    "dim_product": q_dim_product,
+    "dim_date": q_dim_date,
+    "fact_sample": q_fact_sample,
 }

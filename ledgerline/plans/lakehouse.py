@@ -134,3 +134,9 @@ def write_gold(
     for name, df in outputs.items():
         counts[name] = _write_observed(df, f"{root}/gold/{name}", f"gold_{name}")
     return counts
+
+
+def write_low_sales_alerts(enriched: DataFrame, params: RetailParams, root: str) -> int:
+    """The alert rows (exact money) below ``gold/low_sales_alerts``; returns how many."""
+    alerts = marts.low_sales_days(marts.daily_revenue(enriched), params.sales_alert_threshold)
+    return _write_observed(alerts, f"{root}/gold/low_sales_alerts", "gold_alerts")

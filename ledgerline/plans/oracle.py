@@ -23,10 +23,10 @@ WITH raw_sales AS (
            CAST(o.o_custkey AS VARCHAR) AS customer_id,
            CAST(l.l_partkey AS VARCHAR) AS product_id,
            'S' || CAST(l.l_suppkey % 10 AS VARCHAR) AS store_id,
-           CAST(l.l_quantity AS INTEGER) AS quantity,
-           CAST(l.l_extendedprice AS DECIMAL(12, 2)) AS price,
+           CASE WHEN l.l_quantity = floor(l.l_quantity) THEN TRY_CAST(l.l_quantity AS INTEGER) END AS quantity,
+           TRY_CAST(l.l_extendedprice AS DECIMAL(12, 2)) AS price,
            o.o_orderdate AS ts
-    FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+    FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
 ),
 sales AS (
     SELECT transaction_id, customer_id, product_id, store_id, quantity, price,
@@ -39,10 +39,11 @@ customers AS (
     SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id, c.c_name AS name,
            n.n_name AS city, c.c_mktsegment AS segment
     FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+    WHERE c.c_custkey IS NOT NULL
 ),
 products AS (
     SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category, p_brand AS brand
-    FROM part
+    FROM part WHERE p_partkey IS NOT NULL
 ),
 enriched AS (
     SELECT s.transaction_id, s.ts, s.quantity, s.price, ROUND(s.revenue, 2) AS revenue,
@@ -299,4 +300,38 @@ ORACLE: dict[str, str] = {
         SELECT * FROM emitted
         WHERE total_qty * (SELECT COUNT(*) FROM emitted)
               > {FACTOR} * (SELECT COALESCE(SUM(total_qty), 0) FROM emitted)"""),
+    "csv_stream_windowed_demand": _q("SELECT * FROM emitted"),
+    "csv_profile": _q("""
+        SELECT 'sales' AS table_name, COUNT(*) AS n_rows,
+               COUNT(*) FILTER (WHERE transaction_id IS NULL OR customer_id IS NULL
+                                 OR product_id IS NULL) AS n_null_keys
+        FROM raw_sales
+        UNION ALL
+        SELECT 'customers', COUNT(*), COUNT(*) FILTER (WHERE c_custkey IS NULL) FROM customer
+        UNION ALL
+        SELECT 'products', COUNT(*), COUNT(*) FILTER (WHERE p_partkey IS NULL) FROM part"""),
+    "bronze_sales": _q("""
+        SELECT transaction_id, customer_id, product_id, store_id, CAST(quantity AS VARCHAR) AS quantity,
+               CAST(price AS VARCHAR) AS price, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "timestamp"
+        FROM raw_sales"""),
+    "view_store_revenue": _q("""
+        SELECT store_id, CAST(SUM(revenue) AS DOUBLE) AS revenue, COUNT(*) AS n FROM sales GROUP BY store_id"""),
+    "orphan_orders": """
+        SELECT o_orderkey AS transaction_id, COUNT(*) AS n_sales FROM orders
+        WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_orderkey IS NOT NULL)
+        GROUP BY o_orderkey""",
+    "duplicate_lines": """
+        SELECT l_orderkey, l_linenumber, COUNT(*) AS n FROM lineitem
+        WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
+        GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1""",
+    "dim_customer": _q("SELECT customer_id, name, city, segment FROM customers"),
+    "dim_product": _q("SELECT product_id, category, brand FROM products"),
+    "dim_date": _q("""
+        SELECT CAST(unnest(generate_series(CAST(MIN(ts) AS DATE), CAST(MAX(ts) AS DATE), INTERVAL 1 DAY))
+                    AS DATE) AS date FROM sales"""),
+    "fact_sample": _q("""
+        SELECT transaction_id, customer_id, product_id, CAST(revenue AS DOUBLE) AS revenue, city, segment, category
+        FROM enriched ORDER BY transaction_id, product_id, customer_id, revenue LIMIT 5"""),
 }
+ORACLE["csv_clean_sales"] = ORACLE["clean_sales"]
+ORACLE["csv_rejected_rows"] = ORACLE["rejected_rows"]

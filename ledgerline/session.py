@@ -9,6 +9,7 @@ tests) is a local folder created and registered.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 
@@ -74,3 +75,30 @@ def shared_root(spark: SparkSession) -> str:
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique sub-folder of the shared root (never reused; Spark's writers create it)."""
     return "/".join([shared_root(spark), "ledgerline", *parts, uuid.uuid4().hex])
+
+
+def _files(spark: SparkSession, path: str):
+    """(path, size, modification time) of the files below a path, through Hadoop's file systems."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(where):
+        return
+    found = fs.listFiles(where, True)
+    while found.hasNext():
+        f = found.next()
+        yield f.getPath().toString(), f.getLen(), f.getModificationTime()
+
+
+def fingerprint(spark: SparkSession, paths: list[str], *more) -> str:
+    """Changes whenever a file below ``paths`` (or a value of ``more``) does."""
+    seen = hashlib.sha256(repr(more).encode())
+    for path in paths:
+        for f in sorted(_files(spark, path)):
+            seen.update(repr(f).encode())
+    return seen.hexdigest()[:32]
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a table below ``path`` was written to its end (Spark's ``_SUCCESS`` file)."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ledgerline.params import RetailParams
 from ledgerline.schemas import (
     CORRUPT_RECORD,
     CUSTOMER_SCHEMA,
@@ -64,15 +65,21 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def sales_csv_stream(
-    spark: SparkSession, directory: str, max_files_per_trigger: int = 1
+    spark: SparkSession,
+    directory: str,
+    max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: int = RetailParams.max_bytes_per_trigger,
 ) -> DataFrame:
     """Streaming source over a directory of sales CSV files (header checked)."""
+    rate = ("maxBytesPerTrigger", max_bytes_per_trigger)
+    if max_files_per_trigger is not None:
+        rate = ("maxFilesPerTrigger", max_files_per_trigger)
     return (
         spark.readStream.option("header", True)
         .option("enforceSchema", False)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option(*rate)
         .schema(SALES_SCHEMA)
         .csv(directory)
     )

@@ -3,8 +3,8 @@
 Mapping (identical in the DuckDB oracle):
 
 sales      transaction_id = l_orderkey, customer_id = o_custkey (lineitem
-           joined to orders on the order key), product_id = l_partkey,
-           store_id = 'S' || (l_suppkey % 10), quantity = l_quantity as INT,
+           left-joined to orders on the order key), product_id = l_partkey,
+           store_id = 'S' || (l_suppkey % 10), quantity = l_quantity as INT if whole,
            price = l_extendedprice as DECIMAL(12,2), timestamp = o_orderdate
 customers  customer_id = c_custkey, name = c_name, city = nation name (left
            join, so a customer with an unknown nation keeps a NULL city),
@@ -32,6 +32,7 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from ledgerline.params import RetailParams
 from ledgerline.schemas import MONEY
 
 
@@ -92,52 +93,12 @@ DRIVER_SCHEMAS = {
     ),
 }
 
-# Fact-sized tables (their scan feeds the heavy per-row work) and the key
-# columns a narrow scan is hash-spread on. Every adapter query reads these
-# keys anyway, so spreading on them does not defeat column pruning.
-FACT_SPREAD_KEYS = {"lineitem": ("l_orderkey", "l_partkey"), "events": ("event_id",)}
-
-_TABLES: dict[tuple[str, str], DataFrame] = {}
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a DataFrame, read once per session and path.
-
-    The handle is a lazy plan: reusing it across queries re-reads the files
-    at every execution, exactly like reusing a DataFrame in one job.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    df = _TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        schema = DRIVER_SCHEMAS.get(name)
-        reader = spark.read.schema(schema) if schema is not None else spark.read
-        df = reader.parquet(path)
-        if name in FACT_SPREAD_KEYS:
-            df = spread_if_narrow(df, FACT_SPREAD_KEYS[name])
-        _TABLES[key] = df
-    return df
-
-
-def spread_if_narrow(df: DataFrame, keys) -> DataFrame:
-    """Hash-spread a scan that offers fewer splits than the default parallelism.
-
-    A Parquet row group cannot be split, so a small file written as one row
-    group is read by one task, and everything fused into that stage (casts,
-    join probes, partial aggregation) would run on one core. Large inputs
-    have far more splits than cores and are returned unchanged: no extra
-    shuffle is ever added at scale. Hash partitioning on the row keys (not
-    round-robin) needs no local sort for retry-determinism; with several key
-    columns a single hot value of one of them cannot fill one partition.
-    """
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. Spark Connect: no RDD view; leave the plan as is
-        return df
-    if splits < parallelism:
-        return df.repartition(parallelism, *keys)
-    return df
+    """A driver table; its files are listed anew, so an overwritten table is seen."""
+    schema = DRIVER_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,14 +106,17 @@ def sales_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
     )
     orders = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "inner")
+    # Left: a line without its order stays and is rejected for its missing customer.
+    joined = lineitem.join(orders, lineitem.l_orderkey == orders.o_orderkey, "left")
+    whole = F.col("l_quantity") == F.floor("l_quantity")
     return joined.select(
         F.col("l_orderkey").cast("string").alias("transaction_id"),
         F.col("o_custkey").cast("string").alias("customer_id"),
         F.col("l_partkey").cast("string").alias("product_id"),
         F.concat(F.lit("S"), (F.col("l_suppkey") % 10).cast("string")).alias("store_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.col("l_extendedprice").cast(MONEY).alias("price"),
+        # What does not fit the type (or is no whole number) is null, and so rejected.
+        F.when(whole, F.col("l_quantity").try_cast("int")).alias("quantity"),
+        F.col("l_extendedprice").try_cast(MONEY).alias("price"),
         F.col("o_orderdate").alias("timestamp"),
     )
 
@@ -162,10 +126,7 @@ def customers_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment"
     )
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # nation is a fixed 25-row table: a proven size bound, so broadcast it.
-    joined = customer.join(
-        F.broadcast(nation), customer.c_nationkey == nation.n_nationkey, "left"
-    )
+    joined = customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left")
     return joined.select(
         F.col("c_custkey").cast("string").alias("customer_id"),
         F.col("c_name").alias("name"),
@@ -204,13 +165,13 @@ def events_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_stream_from_tables(
-    spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1
+    spark: SparkSession, sf_dir: str, max_bytes_per_trigger: int = RetailParams.max_bytes_per_trigger
 ) -> DataFrame:
-    """Streaming read of ``events`` (the directory, filtered to that file)."""
+    """Streaming read of ``events`` (the directory, filtered to that file or folder)."""
     stream = (
         spark.readStream.schema(EVENTS_SCHEMA)
         .option("pathGlobFilter", "events.parquet")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .option("maxBytesPerTrigger", max_bytes_per_trigger)
         .parquet(sf_dir)
     )
     return _events_as_sales(stream)

@@ -1,4 +1,4 @@
-"""Start, bound and inspect the streaming demand query.
+"""Start, drain and inspect the streaming demand query.
 
 The original used ``trigger(once=True)`` with append output on a fresh
 checkpoint, which processes one batch with the watermark still at the epoch
@@ -9,6 +9,7 @@ watermark, so every window that the watermark has closed is written.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,13 +18,16 @@ from ledgerline.streaming.demand import windowed_demand
 from ledgerline.params import RetailParams
 
 
+POLL_S = 0.2
+
+
 @dataclass
 class StreamResult:
     sink_path: str
     checkpoint_path: str
-    batches: int
-    input_rows: int
-    rows_dropped_by_watermark: int
+    batches: int | None
+    input_rows: int | None
+    rows_dropped_by_watermark: int | None
 
 
 def run_demand_stream(
@@ -33,14 +37,18 @@ def run_demand_stream(
     window: str = "1 minute",
     watermark: str = "5 minutes",
     params: RetailParams = RetailParams(),
-    timeout_s: float = 600.0,
+    timeout_s: float | None = None,
 ) -> StreamResult:
     """Run windowed demand over ``stream`` into a Parquet sink (append).
 
-    Raises ``TimeoutError`` (after stopping the query) when the backlog is not
-    drained within ``timeout_s``; a failed query re-raises its exception.
-    Progress is resumable: rerunning on the same checkpoint reads only files
-    not seen before.
+    The backlog is drained however long it takes; with ``timeout_s`` a
+    ``TimeoutError`` is raised (after stopping the query) when it is not done by
+    then. A failed query re-raises its exception. Progress is resumable:
+    rerunning on the same checkpoint reads only files not seen before.
+
+    Counts are gathered while the query runs, by batch. Spark keeps the reports
+    of recent batches only: if some were gone before they were read, the counts
+    are None, never too small.
     """
     windows = windowed_demand(stream, window=window, watermark=watermark, params=params)
     query = (
@@ -51,17 +59,23 @@ def run_demand_stream(
         .trigger(availableNow=True)
         .start()
     )
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"stream did not drain within {timeout_s}s")
+    seen: dict[int, dict] = {}
+    end = None if timeout_s is None else time.monotonic() + timeout_s
+    finished = False
+    while not finished:
+        finished = query.awaitTermination(POLL_S)
+        seen.update((p["batchId"], p) for p in query.recentProgress)
+        if not finished and end is not None and time.monotonic() > end:
+            query.stop()
+            raise TimeoutError(f"stream did not drain within {timeout_s}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    progress = query.recentProgress
-    dropped = 0
-    rows = 0
-    for p in progress:
-        rows += int(p.get("numInputRows", 0) or 0)
-        for op in p.get("stateOperators", []) or []:
-            dropped += int(op.get("numRowsDroppedByWatermark", 0) or 0)
-    return StreamResult(sink_path, checkpoint_path, len(progress), rows, dropped)
+    if seen and max(seen) - min(seen) + 1 != len(seen):
+        return StreamResult(sink_path, checkpoint_path, None, None, None)
+    rows = sum(int(p.get("numInputRows") or 0) for p in seen.values())
+    late = sum(
+        int(op.get("numRowsDroppedByWatermark") or 0)
+        for p in seen.values()
+        for op in p.get("stateOperators") or []
+    )
+    return StreamResult(sink_path, checkpoint_path, len(seen), rows, late)

@@ -16,8 +16,22 @@ sys.path.insert(0, ROOT)
 BIG_OUTPUT = {"clean_sales", "fact_sales", "enriched_sales", "high_value_sales", "silver_store_sales"}
 
 
+def final_plans(plan: str) -> str:
+    """The plan and its subqueries as they ran, without their initial plans."""
+    kept, skip = [], None
+    for line in plan.splitlines():
+        at = re.search(r"[A-Za-z=*(]", line)
+        indent = at.start() if at else 0
+        if skip is not None and indent > skip:
+            continue
+        skip = indent if "== Initial Plan ==" in line else None
+        if skip is None:
+            kept.append(line)
+    return "\n".join(kept)
+
+
 def summarize(plan: str) -> dict:
-    final = plan.split("== Initial Plan ==")[0]
+    final = final_plans(plan)
     exchanges = re.findall(r"Exchange (hashpartitioning|SinglePartition|rangepartitioning|RoundRobinPartitioning)", final)
     joins = re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin|BroadcastNestedLoopJoin|CartesianProduct)", final)
     return {
@@ -48,7 +62,7 @@ def inputs(df) -> str:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     from ledgerline.session import build_session
-    import __spark_entry__ as contract
+    import retail_contract as contract
 
     spark = build_session("local[8]", 16)
     print(f"# Executed plans at `{sf_dir}` (final AQE plans, local[8])\n")

@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 
 from conftest import SMOKE_DIR
-import __spark_entry__ as contract
+import retail_contract as contract
 
 SF = "/root/testdata/sf0.01"
 

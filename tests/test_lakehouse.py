@@ -49,7 +49,8 @@ def test_silver_rebalance_splits_large_stores(spark, tmp_path):
     spark.conf.set(key, "1k")
     try:
         r = Retail(spark, SMOKE_DIR, materialize=False)
-        n = lakehouse.write_silver_sales(r.sales(), str(tmp_path))
+        r.sales().repartition(8).write.parquet(f"{tmp_path}/clean")
+        n = lakehouse.write_silver_sales(spark.read.parquet(f"{tmp_path}/clean"), str(tmp_path))
     finally:
         spark.conf.set(key, old)
     assert n == r.sales().count()

@@ -5,7 +5,8 @@ import pytest
 from conftest import SMOKE_DIR
 from oracle_check import compare, duck
 
-import __spark_entry__ as contract
+import retail_contract as contract
+from __spark_entry__ import entry
 
 KEYS = sorted(contract.queries())
 
@@ -26,7 +27,7 @@ def test_query_matches_oracle(spark, con, key):
 
 
 def test_entry_smoke(spark):
-    df = contract.entry(spark)
+    df = entry(spark)
     assert df.columns == ["city", "total_revenue", "total_transactions"]
     assert df.count() > 0
 

@@ -146,3 +146,25 @@ def test_spikes_are_a_subset_of_windows_and_use_exact_baseline(spark):
     assert demand_spikes(windows, Decimal("3.0")).count() == 0
     empty = windows.filter(F.lit(False))
     assert demand_spikes(empty).count() == 0
+
+
+def test_counts_are_exact_beyond_a_hundred_batches(spark, tmp_path):
+    """Spark keeps the reports of the last 100 batches; the counts cover all of them."""
+    from ledgerline.sources import sales_csv_stream
+
+    src = tmp_path / "in"
+    src.mkdir()
+    head = "transaction_id,customer_id,product_id,store_id,quantity,price,timestamp\n"
+    for i in range(104):
+        (src / f"f{i:03d}.csv").write_text(head + f"t{i},c,p,S1,1,2.50,2024-01-01 00:{i % 60:02d}:00\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "20")
+    try:
+        result = run_demand_stream(
+            sales_csv_stream(spark, str(src), max_files_per_trigger=1),
+            sink_path=str(tmp_path / "out"),
+            checkpoint_path=str(tmp_path / "ckpt"),
+        )
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert result.input_rows == 104
+    assert result.batches >= 104
