@@ -103,7 +103,7 @@ def hot_counts(counts: DataFrame, most: int) -> dict[bytes, int]:
 
     A histogram over log-spaced counts (a few hundred rows) gives the lowest
     count whose tokens all fit, so nothing is sorted and the driver gets no
-    more than ``most`` rows.
+    more than ``most`` rows and the end.
     """
     step = F.floor(F.log2(F.col("n")) * 16)
     bins = sorted(
@@ -115,9 +115,11 @@ def hot_counts(counts: DataFrame, most: int) -> dict[bytes, int]:
         if total + m > most:
             break
         total, least = total + m, b
-    if least is None:
-        return {}
-    rows = counts.filter(step >= F.lit(least)).select("token", "n").toArrow()
+    # The end is always among them, however rare.
+    chosen = F.col("token") == ""
+    if least is not None:
+        chosen = chosen | (step >= F.lit(least))
+    rows = counts.filter(chosen).select("token", "n").toArrow()
     return dict(zip((t.encode() for t in rows.column(0).to_pylist()), rows.column(1).to_pylist()))
 
 

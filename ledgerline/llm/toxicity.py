@@ -13,7 +13,7 @@ The insult lexicon is learned from labelled documents: whole words, and stems
 (prefixes) shared by several words, that stand in toxic documents far more
 often than chance allows; an entry weighs its log-odds. Copies are collapsed
 before counting, or the words of one much-copied text would look like
-insults. The pattern weights are fitted on other labelled documents than
+insults (texts whose smallest hash of three words is equal count once). The pattern weights are fitted on other labelled documents than
 the lexicon, around prior weights (a negated or reported insult counts less),
 which stay where the labels tell nothing.
 
@@ -233,14 +233,16 @@ def learn_lexicon(sample: DataFrame, p: ToxicityParams, root: str) -> tuple[dict
     """(words, stems) with weights, from rows (text, toxic)."""
     spark = sample.sparkSession
 
-    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def least_shingle(text: str | None) -> int:
         import xxhash
 
+        words = TOKENS.findall((text or "").lower())
+        shingles = {" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))}
+        return min(xxhash.xxh3_64_intdigest(s) >> 1 for s in shingles)
+
+    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            yield pd.Series(
-                [min((xxhash.xxh3_64_intdigest(w) >> 1 for w in set(TOKENS.findall((t or "").lower()))), default=0) for t in texts],
-                dtype="int64",
-            )
+            yield pd.Series([least_shingle(t) for t in texts], dtype="int64")
 
     mark = F.pandas_udf(sketch, "long")
     one = sample.select("toxic", "text", mark("text").alias("mark")).groupBy("mark", "toxic").agg(
