@@ -89,7 +89,7 @@ def op7_toxicity(spark, sf_dir):
 
 def op8_warc(spark, sf_dir):
     """Every page as read back from the archives."""
-    captures = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    captures = warc.archive_and_read(table(spark, sf_dir, "pages"), payloads=False)
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

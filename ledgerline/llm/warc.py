@@ -11,8 +11,8 @@ from the response that it refers to.
 Of records with equal payloads of at least ``least_bytes`` bytes, the one with
 the smallest page id is the response, the others are revisits.
 
-How the work is spread: Spark's text writer writes the archives, with the
-record terminator as line separator, so a task that fails leaves no half file;
+How the work is spread: Spark's text writer writes the archives (gzip), with
+the record terminator as line separator, so a task that fails leaves no half file;
 files hold at most ``records_per_file`` records, so a reader's memory is
 bounded. Payloads are found equal by their digests, of which only those that
 occur twice are joined back; a payload that a third of all pages share is a
@@ -150,6 +150,7 @@ def write_archive(
         rows.select(F.explode(records).alias("value"))
         .write.option("lineSep", TERMINATOR)
         .option("maxRecordsPerFile", records_per_file)
+        .option("compression", "gzip")
         .text(path)
     )
 
@@ -181,10 +182,12 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     kept = ["warc-type", "warc-record-id", "warc-concurrent-to", "warc-refers-to", "warc-target-uri", "warc-date"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import gzip
+
         for batch in batches:
             for content in batch.column(0):
                 rows, held = [], 0
-                for r in parse(content.as_buffer().to_pybytes()):
+                for r in parse(gzip.decompress(content.as_buffer())):
                     block = r["block"].decode()
                     head, _, payload = block.partition(TERMINATOR)
                     if r["warc-type"] != "response":
@@ -202,12 +205,23 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
     return files.select("content").mapInArrow(run, RECORD)
 
 
-def assemble(records: DataFrame) -> DataFrame:
+def assemble(records: DataFrame, payloads: bool = True) -> DataFrame:
     """One nested row per capture: page_id, record_type, refers_to (a page id), payload_bytes,
-    payload_digest, and the structs response, request and metadata."""
-    path = shared_dir(records.sparkSession, "warc_records")
-    records.write.partitionBy("type").parquet(path)
-    stored = records.sparkSession.read.schema(records.schema).parquet(path)
+    payload_digest, and the structs response, request and metadata.
+
+    Size and digest are taken from the payload as read; without ``payloads``
+    the payload itself goes no further than that.
+    """
+    spark, path = records.sparkSession, shared_dir(records.sparkSession, "warc_records")
+    measured = records.select(
+        "*",
+        F.octet_length("payload").cast("long").alias("bytes"),
+        F.sha2(F.col("payload").cast("binary"), 256).alias("digest"),
+    )
+    if not payloads:
+        measured = measured.drop("payload")
+    measured.write.partitionBy("type").parquet(path)
+    stored = spark.read.schema(measured.schema).parquet(path)
 
     def beside(kind: str) -> DataFrame:
         fields = F.min(F.struct("record_id", "uri", "date", "head"))
@@ -217,17 +231,17 @@ def assemble(records: DataFrame) -> DataFrame:
             .agg(fields.alias(kind))
         )
 
+    fields = ["record_id", "uri", "date", "head", *["payload"] * payloads, "payload_digest"]
     page = F.regexp_extract("metadata.head", "page-id: (-?[0-9]+)", 1)
-    body = F.col("payload").cast("binary")
     captures = (
         stored.filter(F.col("type").isin("response", "revisit"))
         .select(
             "type",
             "record_id",
             "refers_to",
-            F.octet_length("payload").cast("long").alias("bytes"),
-            F.sha2(body, 256).alias("digest"),
-            F.struct("record_id", "uri", "date", "head", "payload", "payload_digest").alias("response"),
+            "bytes",
+            "digest",
+            F.struct(*fields).alias("response"),
         )
         .join(beside("request"), "record_id", "left")
         .join(beside("metadata"), "record_id", "left")
@@ -261,8 +275,10 @@ def assemble(records: DataFrame) -> DataFrame:
     return first.unionAll(again)
 
 
-def archive_and_read(pages: DataFrame, path: str | None = None, **options) -> DataFrame:
+def archive_and_read(
+    pages: DataFrame, path: str | None = None, payloads: bool = True, **options
+) -> DataFrame:
     """Write ``pages`` as archives and return the captures read back from them."""
     path = path or shared_dir(pages.sparkSession, "warc")
     write_archive(pages, path, **options)
-    return assemble(read_archive(pages.sparkSession, path))
+    return assemble(read_archive(pages.sparkSession, path), payloads)
