@@ -1,6 +1,6 @@
 """Summarize the executed (final AQE) physical plan of every registered query.
 
-Usage: python tests/plan_report.py [sf_dir] > PLANS.md
+Usage: python tests/plan_report.py [sf_dir]
 Streaming keys are summarized through their read-back plan.
 """
 
