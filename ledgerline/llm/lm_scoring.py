@@ -45,6 +45,7 @@ from ledgerline.llm.common import ascii_words
 from ledgerline.session import shared_dir
 
 END = b""  # no word is empty
+ROWS = 4096  # logits computed at a time, so that they stay in the cache
 RARE = 16  # classes of words outside the softmax vocabulary, by surface
 LOG10 = float(np.log(10.0))
 
@@ -126,6 +127,17 @@ def hot_counts(counts: DataFrame, most: int) -> dict[bytes, int]:
 # ------------------------------------------------------------------ vocabulary
 
 
+class Numbers(dict):
+    """A dict whose other keys have the value ``other``."""
+
+    def __init__(self, numbers: dict[bytes, int], other: int):
+        super().__init__(numbers)
+        self.other = other
+
+    def __missing__(self, word: bytes) -> int:
+        return self.other
+
+
 def rare_class(word: bytes) -> int:
     """0..RARE-1 by surface: what the word ends in, and whether it is all ASCII."""
     last = word[-1]
@@ -234,7 +246,11 @@ def new_weights(v: Vocabulary, p: LmParams) -> dict[str, np.ndarray]:
 
 
 def _sigmoid(x):
-    return 1.0 / (1.0 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def gru_step(weights, word, state):
@@ -242,11 +258,15 @@ def gru_step(weights, word, state):
     h = state.shape[1]
     xa = weights["x"][word] + weights["b"]
     ha = state @ weights["h"]
-    r = _sigmoid(xa[:, :h] + ha[:, :h])
-    z = _sigmoid(xa[:, h : 2 * h] + ha[:, h : 2 * h])
-    hn = ha[:, 2 * h :]
-    n = np.tanh(xa[:, 2 * h :] + r * hn)
-    return r, z, n, hn, (1 - z) * n + z * state
+    rz = _sigmoid(xa[:, : 2 * h] + ha[:, : 2 * h])
+    r, z, hn = rz[:, :h], rz[:, h:], ha[:, 2 * h :]
+    n = r * hn
+    n += xa[:, 2 * h :]
+    np.tanh(n, out=n)
+    new = state - n
+    new *= z
+    new += n
+    return r, z, n, hn, new
 
 
 def _softmax(states, matrix, bias, rows, chosen):
@@ -258,9 +278,10 @@ def _softmax(states, matrix, bias, rows, chosen):
     logits = states @ matrix
     logits += bias
     own = logits[rows, chosen]
-    e = np.exp(logits)
-    total = e.sum(axis=1)
+    e = np.exp(logits, out=logits)
+    total = e @ np.ones(e.shape[1], e.dtype)
     if not (np.isfinite(total).all() and total.all()):
+        logits = states @ matrix + bias
         logits -= logits.max(axis=1, keepdims=True)
         own = logits[rows, chosen]
         e = np.exp(logits)
@@ -276,20 +297,28 @@ def output_losses(weights, starts, states, target, grads=None):
     the gradient by the states is returned too.
     """
     size, classes = int(starts[-1]), len(starts) - 1
-    is_rare = target >= size
-    cls = np.where(is_rare, target - size + classes, np.searchsorted(starts, target, side="right") - 1)
-    rows = np.arange(len(target))
-    e, total, own = _softmax(states, weights["c"], weights["cb"], rows, cls)
-    loss = np.log(total) - own
+    rare = np.arange(classes, weights["c"].shape[1])
+    cls = np.concatenate([np.repeat(np.arange(classes), np.diff(starts)), rare]).astype(np.int16)[target]
     back = None
-    if grads is not None:
+    if grads is None:
+        loss = np.empty(len(target), states.dtype)
+        for lo in range(0, len(target), ROWS):
+            own_cls = cls[lo : lo + ROWS]
+            _, total, own = _softmax(
+                states[lo : lo + ROWS], weights["c"], weights["cb"], np.arange(len(own_cls)), own_cls
+            )
+            loss[lo : lo + ROWS] = np.log(total) - own
+    else:
+        rows = np.arange(len(target))
+        e, total, own = _softmax(states, weights["c"], weights["cb"], rows, cls)
+        loss = np.log(total) - own
         d = e / total[:, None]
         d[rows, cls] -= 1
         grads["c"] += states.T @ d
         grads["cb"] += d.sum(axis=0)
         back = d @ weights["c"].T
     order = np.argsort(cls, kind="stable")
-    edges = np.searchsorted(cls[order], np.arange(classes + 1))
+    edges = np.concatenate([[0], np.cumsum(np.bincount(cls, minlength=classes)[:classes])])
     for k in np.flatnonzero(np.diff(edges)):
         at = order[edges[k] : edges[k + 1]]
         lo, hi = int(starts[k]), int(starts[k + 1])
@@ -486,11 +515,12 @@ def score_documents(
         w, voc, hot_n = shared.value
         numbers, id_of, log_of = voc.index(hot_n)
         other, end = len(hot_n), log_of[numbers[END]] if END in numbers else 0.0
+        number = Numbers(numbers, other).__getitem__
         for series in batches:
             rows, ids = [], []
             for t in series:
                 tokens = ascii_words(t)
-                at = np.array([numbers.get(x, other) for x in tokens], np.int64)
+                at = np.fromiter(map(number, tokens), np.int64, len(tokens))
                 own, logs = np.append(id_of[at], 0), log_of[at]
                 rest: Counter = Counter()
                 for i in np.flatnonzero(at == other).tolist():
