@@ -13,9 +13,9 @@ the smallest page id is the response, the others are revisits.
 
 How the work is spread: Spark's text writer writes the archives (gzip), with
 the record terminator as line separator, so a task that fails leaves no half file;
-files hold at most ``records_per_file`` records, so a reader's memory is
-bounded. Payloads are found equal by their digests, of which only those that
-occur twice are joined back; a payload that a third of all pages share is a
+files hold at most ``records_per_file`` records, and a reader holds a file's
+compressed bytes and a batch of records of about 8 MB (or one longer record).
+Payloads are found equal by their digests, of which only those that occur twice are joined back; a payload that a third of all pages share is a
 hot key of a left join, which adaptive execution splits. When digests only are
 asked for, the joins move no payloads.
 
@@ -29,7 +29,9 @@ record headers inside a payload do no harm, since lengths are followed.
 
 from __future__ import annotations
 
+import io
 from collections.abc import Iterator
+from typing import BinaryIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -155,25 +157,27 @@ def write_archive(
     )
 
 
-def parse(content: bytes) -> Iterator[dict]:
-    """The records of one archive: header fields (lower-case names) and ``block``."""
-    at = 0
-    while at < len(content):
-        end = content.index(b"\r\n\r\n", at)
-        lines = content[at:end].decode().split(CRLF)
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record begins at byte {at}")
+def parse(archive: bytes | BinaryIO) -> Iterator[dict]:
+    """The records of one archive: header fields (lower-case names) and ``block``.
+
+    A stream is read record by record, so no more than one is held.
+    """
+    stream = io.BytesIO(archive) if isinstance(archive, bytes) else archive
+    number = 0
+    while version := stream.readline():
+        number += 1
+        if not version.startswith(b"WARC/"):
+            raise ValueError(f"record {number} does not begin with a version")
         fields = {}
-        for line in lines[1:]:
-            name, _, value = line.partition(":")
+        while (line := stream.readline()) != CRLF.encode():
+            if not line:
+                raise ValueError(f"the header of record {number} has no end")
+            name, _, value = line.decode().partition(":")
             fields[name.strip().lower()] = value.strip()
-        start = end + 4
-        stop = start + int(fields["content-length"])
-        fields["block"] = content[start:stop]
-        if content[stop : stop + 4] != b"\r\n\r\n":
-            raise ValueError(f"the record at byte {at} does not end where its length says")
+        fields["block"] = stream.read(int(fields["content-length"]))
+        if stream.read(len(TERMINATOR)) != TERMINATOR.encode():
+            raise ValueError(f"record {number} does not end where its length says")
         yield fields
-        at = stop + 4
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -187,7 +191,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows, held = [], 0
-                for r in parse(gzip.decompress(content.as_buffer())):
+                for r in parse(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))):
                     block = r["block"].decode()
                     head, _, payload = block.partition(TERMINATOR)
                     if r["warc-type"] != "response":

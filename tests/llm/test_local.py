@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 import pandas as pd
 
 from ledgerline.llm import lm_scoring, packing, quality, simhash, token_counts, topk, toxicity, training_shards, warc
@@ -193,6 +194,10 @@ def test_archive_records_are_read_by_length():
     one = b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
     got = list(warc.parse(one + one))
     assert [r["block"] for r in got] == [block, block]
+    assert list(warc.parse(b"")) == []
+    for cut in (one[:20], one[:-2], one[1:]):
+        with pytest.raises(ValueError):
+            list(warc.parse(one + cut))
 
 
 def test_fresh_names():
