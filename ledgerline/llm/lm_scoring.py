@@ -17,9 +17,12 @@ How the work is spread:
 - the ``hot`` most frequent counts travel to the tasks (at most ``hot``
   entries, however large the corpus); every other word of a document joins
   the table of counts.
-- weights: one training document in ``train_every`` (by hash of its text, so
-  the share grows with the corpus) is dealt to ``workers`` tasks, whose
-  weights, of fixed size, are averaged after each of ``rounds``.
+- weights: every training document (with ``train_every`` over 1, one in so many
+  by hash of its text) is encoded once and dealt to tasks of about
+  ``task_tokens`` tokens, at least ``workers`` of them, so their number follows
+  the input; their weights, of fixed size, are averaged after each of
+  ``rounds``, piece by piece on the executors, so that the driver gets one
+  set of weights however many tasks there are.
 - scoring: documents of a batch run side by side, longest first, each with its
   own state from its first word to its end.
 
@@ -45,6 +48,7 @@ from ledgerline.llm.common import ascii_words
 from ledgerline.session import shared_dir
 
 END = b""  # no word is empty
+PIECE = 4096  # weights added up at a time
 ROWS = 4096  # logits computed at a time, so that they stay in the cache
 RARE = 16  # classes of words outside the softmax vocabulary, by surface
 LOG10 = float(np.log(10.0))
@@ -59,7 +63,8 @@ class LmParams:
     streams: int = 24
     rounds: int = 2
     workers: int = 6
-    train_every: int = 24
+    train_every: int = 1
+    task_tokens: int = 2_000_000
     rate: float = 0.08
     hot: int = 131_072
     batch: int = 2048
@@ -404,50 +409,93 @@ def word_ids(words: list[bytes], ids: dict[bytes, int], size: int) -> np.ndarray
 def train(
     texts: DataFrame, text: str, v: Vocabulary, p: LmParams, root: str
 ) -> dict[str, np.ndarray]:
-    """Weights averaged over ``workers`` tasks after each of ``rounds`` passes."""
+    """Weights averaged over tasks of about ``task_tokens`` tokens after each of ``rounds`` passes."""
     weights = new_weights(v, p)
     if not v.size or END not in v.ids:
         return weights
-    sample = texts.select(text).filter(
-        F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(p.train_every)) == 0
-    )
-    # Dealt in turn, so that copies of one text don't meet in one task; written once for all rounds.
     spark = texts.sparkSession
-    sample.repartition(p.workers).write.parquet(f"{root}/sample")
-    dealt = spark.read.schema(sample.schema).parquet(f"{root}/sample").coalesce(p.workers)
+    kind = np.uint16 if v.size + RARE <= 1 << 16 else np.int32
+    known = spark.sparkContext.broadcast((v.ids, v.size))
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, size = known.value
+        for b in batches:
+            docs = [word_ids(ascii_words(t.as_py()), ids, size) for t in b.column(0)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([len(d) for d in docs], pa.int64()),
+                    pa.array([d.astype(kind).tobytes() for d in docs], pa.binary()),
+                ],
+                names=["n", "ids"],
+            )
+
+    sample = texts.select(text)
+    if p.train_every > 1:
+        sample = sample.filter(
+            F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(p.train_every)) == 0
+        )
+    # Encoded and written once for all rounds.
+    sample.mapInArrow(encode, "n long, ids binary").write.parquet(f"{root}/encoded")
+    encoded = spark.read.schema("n long, ids binary").parquet(f"{root}/encoded")
+    tokens = encoded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    tasks = max(p.workers, -(-tokens // p.task_tokens))
+    # Dealt in turn, so that copies of one text don't meet in one task.
+    dealt = encoded.select("ids").repartition(tasks)
     names, shapes = list(weights), {k: w.shape for k, w in weights.items()}
     for _ in range(p.rounds):
-        shared = spark.sparkContext.broadcast((weights, v))
+        shared = spark.sparkContext.broadcast((weights, v.starts))
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            start, vocabulary = shared.value
+            start, starts = shared.value
             own = {k: w.copy() for k, w in start.items()}
             tokens, docs, held = 0, [], 0
             for b in batches:
                 for t in b.column(0):
-                    docs.append(word_ids(ascii_words(t.as_py()), vocabulary.ids, vocabulary.size))
+                    docs.append(np.frombuffer(t.as_py(), kind).astype(np.int64))
                     held += len(docs[-1])
-                    if held > 2_000_000:  # bounds the memory of a task
-                        tokens += fit(own, vocabulary.starts, docs, p)
+                    if held > p.task_tokens:  # bounds the memory of a task
+                        tokens += fit(own, starts, docs, p)
                         docs, held = [], 0
             if held:
-                tokens += fit(own, vocabulary.starts, docs, p)
+                tokens += fit(own, starts, docs, p)
             if tokens:
-                blob = np.concatenate([own[k].reshape(-1) for k in names]).tobytes()
+                flat = np.concatenate([own[k].reshape(-1) for k in names])
+                at = range(0, len(flat), PIECE)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(at, pa.int64()),
+                        pa.array([tokens] * len(at), pa.int64()),
+                        pa.array([flat[i : i + PIECE].tobytes() for i in at], pa.binary()),
+                    ],
+                    names=["at", "n", "piece"],
+                )
+
+        def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums: dict[int, np.ndarray] = {}
+            counts: Counter = Counter()
+            for b in batches:
+                for at, n, piece in zip(*(c.to_pylist() for c in b.columns)):
+                    counts[at] += n
+                    sums[at] = sums.get(at, 0) + n * np.frombuffer(piece, np.float32).astype(np.float64)
+            if sums:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([tokens], pa.int64()), pa.array([blob], pa.binary())], names=["n", "blob"]
+                    [
+                        pa.array(list(sums), pa.int64()),
+                        pa.array([(x / counts[at]).astype(np.float32).tobytes() for at, x in sums.items()], pa.binary()),
+                    ],
+                    names=["at", "piece"],
                 )
 
-        rows = dealt.mapInArrow(work, "n long, blob binary").collect()
+        pieces = dealt.mapInArrow(work, "at long, n long, piece binary")
+        rows = pieces.repartition(p.workers, "at").mapInArrow(average, "at long, piece binary").collect()
         shared.unpersist()
         if not rows:
             break
-        total = sum(r["n"] for r in rows)
-        mean = sum(np.frombuffer(r["blob"], np.float32) * (r["n"] / total) for r in rows)
+        mean = np.concatenate([np.frombuffer(r["piece"], np.float32) for r in sorted(rows, key=lambda r: r["at"])])
         at = 0
         for k in names:
             size = int(np.prod(shapes[k]))
-            weights[k] = mean[at : at + size].reshape(shapes[k]).astype(np.float32)
+            weights[k] = mean[at : at + size].reshape(shapes[k]).copy()
             at += size
     return weights
 

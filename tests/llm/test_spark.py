@@ -95,6 +95,17 @@ def test_lm_scores(docs, none):
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in nothing} == {(0, 0, 0.0)}
 
 
+def test_every_training_document_reaches_the_weights(spark, tmp_path):
+    texts = [f"w{i} w{i}" for i in range(60)]
+    learn = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+    hot = {lm_scoring.END: 60, **{b"w%d" % i: 2 for i in range(60)}}
+    p = lm_scoring.LmParams(task_tokens=30)  # more tasks than ``workers``
+    v = lm_scoring.build_vocabulary(hot, [], p)
+    weights, before = lm_scoring.train(learn, "t", v, p, str(tmp_path)), lm_scoring.new_weights(v, p)
+    assert (weights["x"][: v.size] != before["x"][: v.size]).any(axis=1).all()
+    assert (weights["x"][v.size :] == before["x"][v.size :]).all()
+
+
 def test_packing(docs, none):
     rows = packing.pack(docs, capacity=64, per_source=1, shard=16).collect()
     want = Counter()
