@@ -5,13 +5,19 @@ spelling), the metadata view its record and layout (language, source, length,
 lines, kinds of characters). Each view is a logistic regression over
 quantile bins of its features. In every round each view labels the unlabelled
 documents it is sure of, and the *other* view learns from them; a round takes
-as many of each class as keeps the classes' shares. At the end each view is
+as many of each class as keeps the classes' shares, at most ``take`` or the
+share ``take_share`` of the unlabelled documents, the surest first. At the end each view is
 calibrated on labelled documents neither has learned from, and the
 calibrated log-odds are combined into one score.
 
-Bounds: the views are fitted on at most ``labelled`` labelled and ``pool``
-unlabelled documents; of these only the features (a few numbers each) reach
-the driver. Every document is scored whole, in one pass without a shuffle.
+How the work is spread: at most ``labelled`` labelled documents reach the
+driver, as features (a few numbers each); the bins come from them. Every
+unlabelled document takes part: its bins (a byte each) are written once, and
+each round scores all of them. What the driver gets are histograms of the
+log-odds, for the cuts, and sums of gradients and second derivatives, for the
+fits, whose sizes don't depend on the input. Which document was given when
+follows from the cuts so far, so no state is kept; at a cut, documents go by
+hash of their id. Every document is scored whole, in one pass without a shuffle.
 
 Defined cases: a null or empty text has no words and features of zero; null
 metadata is a value of its own; without labels of both kinds every score is
@@ -28,22 +34,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import id_mod
-from ledgerline.llm.sampling import labelled, unlabelled
+from ledgerline.llm.sampling import labelled
+from ledgerline.session import shared_dir
 
 N_CONTENT, N_META, GROUPS = 9, 10, 16
+STEPS, TOP = 64, 60  # steps of the histograms per unit of log-odds, and their end
 
 
 @dataclass(frozen=True)
 class QualityParams:
     labelled: int = 12_000
-    pool: int = 8_000
     rounds: int = 4
     sure: float = 0.95
-    take: int = 400  # pseudo-labels a view gives in a round, at most
+    take: int = 400  # pseudo-labels a view gives in a round, at most,
+    take_share: float = 0.05  # or so many per unlabelled document, if that is more
     bins: int = 8
     ridge: float = 1.0
 
@@ -129,34 +138,167 @@ class View:
         self.edges = [np.unique(np.quantile(x[:, c], cuts)) for c in columns]
         self.weights = None
 
-    def design(self, x: np.ndarray) -> np.ndarray:
-        parts = [np.ones((len(x), 1))]
-        for c, edges in zip(self.columns, self.edges):
-            parts.append(np.eye(len(edges) + 1)[np.searchsorted(edges, x[:, c], side="right")])
-        for c in self.groups:
-            parts.append(np.eye(GROUPS)[x[:, c].astype(int)])
-        return np.hstack(parts)
+        sizes = [*[len(e) + 1 for e in self.edges], *[GROUPS] * len(groups)]
+        self.starts = 1 + np.cumsum([0, *sizes])  # the first place is the constant's
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> None:
-        self.weights = logistic(self.design(x), y, self.ridge)
+    def codes(self, x: np.ndarray) -> np.ndarray:
+        """The bin or group of each column, a byte each."""
+        bins = [np.searchsorted(e, x[:, c], side="right") for c, e in zip(self.columns, self.edges)]
+        return np.column_stack([*bins, *[x[:, c] for c in self.groups]]).astype(np.uint8)
 
-    def log_odds(self, x: np.ndarray) -> np.ndarray:
-        return self.design(x) @ self.weights
+    def design(self, codes: np.ndarray) -> np.ndarray:
+        d = np.zeros((len(codes), self.starts[-1]))
+        d[:, 0] = 1
+        d[np.arange(len(codes))[:, None], self.starts[:-1] + codes] = 1
+        return d
 
+    def log_odds(self, codes: np.ndarray) -> np.ndarray:
+        return self.weights[0] + self.weights[self.starts[:-1] + codes].sum(axis=1)
 
-def logistic(d: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
-    beta = np.zeros(d.shape[1])
-    keep = np.full(d.shape[1], ridge)
-    keep[0] = 1e-6  # the constant is free
+
+def slopes(d: np.ndarray, y: np.ndarray, beta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and second derivatives of the logistic loss, summed over rows."""
+    p = 1 / (1 + np.exp(-np.clip(d @ beta, -30, 30)))
+    return d.T @ (p - y), (d * (p * (1 - p) + 1e-9)[:, None]).T @ d
+
+
+def newton(betas: list[np.ndarray], sums, ridge: float) -> list[np.ndarray]:
+    """Fits by Newton's method, side by side; ``sums(betas)`` gives the slopes of each."""
+    betas = [b.copy() for b in betas]
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(d @ beta, -30, 30)))
-        grad = d.T @ (p - y) + keep * beta
-        hess = (d * (p * (1 - p) + 1e-9)[:, None]).T @ d + np.diag(keep)
-        step = np.linalg.solve(hess, grad)
-        beta -= np.clip(step, -3, 3)
-        if np.abs(step).max() < 1e-6:
+        largest = 0.0
+        for beta, (grad, hess) in zip(betas, sums(betas)):
+            keep = np.full(len(beta), ridge)
+            keep[0] = 1e-6  # the constant is free
+            step = np.linalg.solve(hess + np.diag(keep), grad + keep * beta)
+            beta -= np.clip(step, -3, 3)
+            largest = max(largest, np.abs(step).max())
+        if largest < 1e-6:
             break
-    return beta
+    return betas
+
+
+def logistic(d: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
+    return newton([np.zeros(d.shape[1])], lambda b: [slopes(d, y, b[0])], ridge)[0]
+
+
+# ------------------------------------------------------------------ the unlabelled documents
+
+
+@dataclass
+class Round:
+    """What a round gave: the views' weights then, and by view and class the cut."""
+
+    weights: list[np.ndarray]
+    cuts: list[tuple[tuple[int, float], tuple[int, float]]]  # (step, share of documents on it): positive, negative
+
+
+def _steps(odds: np.ndarray) -> np.ndarray:
+    return np.floor(np.minimum(np.abs(odds), TOP) * STEPS).astype(np.int64)
+
+
+def given(views: list[View], rounds: list[Round], codes: np.ndarray, u: np.ndarray, edge: float):
+    """(free, [(rows, labels) given by each view]): what became of these documents.
+
+    ``u``: a number in [0, 1) by hash of the id.
+    """
+    own = _split(views, codes)
+    free, out = np.ones(len(codes), bool), [[], []]
+    for past in rounds:
+        taken = np.zeros(len(codes), bool)
+        for i, v in enumerate(views):
+            odds = past.weights[i][0] + past.weights[i][v.starts[:-1] + own[i]].sum(axis=1)
+            step = _steps(odds)
+            for sign, (at, share) in zip((1, -1), past.cuts[i]):
+                mine = free & (sign * odds > edge) & ((step > at) | ((step == at) & (u < share)))
+                out[i].append((np.flatnonzero(mine), sign > 0))
+                taken |= mine
+        free &= ~taken
+    joined = []
+    for parts in out:
+        rows = np.concatenate([np.zeros(0, np.int64), *[r for r, _ in parts]])
+        joined.append((rows, np.concatenate([np.zeros(0), *[np.full(len(r), float(k)) for r, k in parts]])))
+    return free, joined
+
+
+def _split(views: list[View], codes: np.ndarray) -> list[np.ndarray]:
+    n = len(views[0].starts) - 1
+    return [codes[:, :n], codes[:, n:]]
+
+
+def histograms(views: list[View], rounds: list[Round], codes: np.ndarray, u: np.ndarray, edge: float) -> np.ndarray:
+    """By view and class the free documents that the view is sure of, by step of their log-odds; flat."""
+    free, _ = given(views, rounds, codes, u, edge)
+    out = np.zeros((2, 2, TOP * STEPS + 1))
+    for i, (v, own) in enumerate(zip(views, _split(views, codes))):
+        odds = v.log_odds(own)
+        for k, sign in enumerate((1, -1)):
+            out[i, k] = np.bincount(_steps(odds[free & (sign * odds > edge)]), minlength=out.shape[2])
+    return out.reshape(-1)
+
+
+def pseudo_slopes(views, rounds, codes, u, edge, betas) -> np.ndarray:
+    """Slopes of both views over the documents given to them; flat."""
+    _, by = given(views, rounds, codes, u, edge)
+    out = []
+    for i, (v, own) in enumerate(zip(views, _split(views, codes))):
+        rows, y = by[1 - i]  # a view learns from the other one
+        out += [x.reshape(-1) for x in slopes(v.design(own[rows]), y, betas[i])]
+    return np.concatenate(out)
+
+
+class Pool:
+    """Unlabelled documents in memory."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes = codes
+        self.u = (np.arange(len(codes)) * 0.6180339887498949) % 1
+
+    def __len__(self) -> int:
+        return len(self.codes)
+
+    def sum(self, f) -> np.ndarray:
+        """The sum of ``f(codes, u)``, an array of fixed size."""
+        return f(self.codes, self.u)
+
+
+class StoredPool:
+    """Unlabelled documents in a table (codes binary, u double)."""
+
+    def __init__(self, rows: DataFrame):
+        self.rows, self.n = rows, rows.count()
+
+    def __len__(self) -> int:
+        return self.n
+
+    def sum(self, f) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for b in batches:
+                if b.num_rows:
+                    codes = np.frombuffer(b"".join(b.column(0).to_pylist()), np.uint8).reshape(b.num_rows, -1)
+                    part = f(codes, b.column(1).to_numpy(zero_copy_only=False))
+                    total = part if total is None else total + part
+            if total is not None:
+                at = np.append(np.flatnonzero(total[:-1]), len(total) - 1)  # the last one tells the size
+                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "v"])
+
+        parts = self.rows.mapInArrow(run, "at long, v double")
+        rows = parts.groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+        at = rows.column(0).to_numpy()
+        out = np.zeros(at.max() + 1)
+        out[at] = rows.column(1).to_numpy()
+        return out
+
+
+def cut(counts: np.ndarray, most: float) -> tuple[int, float]:
+    """(step, share of it) from which the surest ``most`` are taken."""
+    above = np.cumsum(counts[::-1])[::-1] - counts
+    at = int(np.argmax(above + counts <= most)) if (above + counts <= most).any() else len(counts)
+    if at == 0:
+        return 0, 1.0
+    at -= 1  # of this step only a part
+    return at, float((most - above[at]) / counts[at])
 
 
 @dataclass
@@ -169,54 +311,77 @@ class Model:
 
     def scores(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(score, content score, metadata score)."""
-        own = [v.log_odds(x) * s + t for v, (s, t) in zip((self.content, self.meta), self.calibrate)]
+        own = [v.log_odds(v.codes(x)) * s + t for v, (s, t) in zip((self.content, self.meta), self.calibrate)]
         both = self.combine[0] + self.combine[1] * own[0] + self.combine[2] * own[1]
         sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -60, 60)))
         return sigmoid(both), sigmoid(own[0]), sigmoid(own[1])
 
 
-def co_train(x: np.ndarray, y: np.ndarray, pool: np.ndarray, held: np.ndarray, p: QualityParams) -> Model:
-    """``held``: labelled rows kept for calibration."""
-    n_content = N_CONTENT
-    meta = list(range(n_content, n_content + N_META))
-    views = [
-        View(list(range(n_content)), [], x, p),
-        View(meta, [n_content + N_META, n_content + N_META + 1], x, p),
+def make_views(x: np.ndarray, p: QualityParams) -> list[View]:
+    meta = list(range(N_CONTENT, N_CONTENT + N_META))
+    return [
+        View(list(range(N_CONTENT)), [], x, p),
+        View(meta, [N_CONTENT + N_META, N_CONTENT + N_META + 1], x, p),
     ]
-    sets = [(x[~held], y[~held])] * 2
-    free, rounds, good = np.ones(len(pool), bool), [], float(y[~held].mean())
+
+
+def all_codes(views: list[View], x: np.ndarray) -> np.ndarray:
+    return np.hstack([v.codes(x) for v in views])
+
+
+def co_train(
+    x: np.ndarray,
+    y: np.ndarray,
+    pool: np.ndarray | StoredPool,
+    held: np.ndarray,
+    p: QualityParams,
+    views: list[View] | None = None,
+) -> Model:
+    """``held``: labelled rows kept for calibration; ``pool``: features, or a stored pool with its ``views``."""
+    views = views or make_views(x, p)
+    if isinstance(pool, np.ndarray):
+        pool = Pool(all_codes(views, pool))
+    designs = [v.design(v.codes(x[~held])) for v in views]
+    rounds, counts, good = [], [], float(y[~held].mean())
     edge = np.log(p.sure / (1 - p.sure))
+
+    def fit() -> None:
+        past = list(rounds)
+
+        def sums(betas):
+            own = [slopes(d, y[~held], b) for d, b in zip(designs, betas)]
+            if past and len(pool):
+                flat, at = pool.sum(lambda c, u: pseudo_slopes(views, past, c, u, edge, betas)), 0
+                for grad, hess in own:
+                    for a in (grad, hess):
+                        a += flat[at : at + a.size].reshape(a.shape)
+                        at += a.size
+            return own
+
+        starts = [np.zeros(d.shape[1]) if v.weights is None else v.weights for v, d in zip(views, designs)]
+        for v, beta in zip(views, newton(starts, sums, p.ridge)):
+            v.weights = beta
+
+    fit()
     for _ in range(p.rounds):
-        for v, (a, b) in zip(views, sets):
-            v.fit(a, b)
-        given = []
-        for i, v in enumerate(views):
-            odds = v.log_odds(pool) if len(pool) else np.zeros(0)
-            chosen = []
-            for sign, share in ((1, good), (-1, 1 - good)):
-                sure = np.flatnonzero(free & (sign * odds > edge))
-                most = int(np.ceil(p.take * share))
-                chosen += [(j, sign > 0) for j in sure[np.argsort(-sign * odds[sure], kind="stable")][:most]]
-            given.append(chosen)
-        for i, chosen in enumerate(given):  # view i teaches the other one
-            if chosen:
-                at = np.array([j for j, _ in chosen])
-                a, b = sets[1 - i]
-                sets[1 - i] = (np.vstack([a, pool[at]]), np.concatenate([b, [float(k) for _, k in chosen]]))
-        for j, _ in [*given[0], *given[1]]:
-            free[j] = False
-        rounds.append((len(given[0]), len(given[1])))
-        if not any(given):
+        if not len(pool):
+            break
+        past = list(rounds)
+        sure = pool.sum(lambda c, u: histograms(views, past, c, u, edge)).reshape(2, 2, -1)
+        take = max(p.take, p.take_share * len(pool))
+        most = [np.ceil(take * share) for share in (good, 1 - good)]
+        counts.append(tuple(int(sum(min(h.sum(), m) for h, m in zip(own, most))) for own in sure))
+        if not any(counts[-1]):
             break
-    for v, (a, b) in zip(views, sets):
-        v.fit(a, b)
-    odds = [v.log_odds(x[held]) for v in views]
+        rounds.append(Round([v.weights for v in views], [tuple(map(cut, own, most)) for own in sure]))
+        fit()
+    odds = [v.log_odds(v.codes(x[held])) for v in views]
     line = lambda z: np.column_stack([np.ones(len(z)), z])
     fits = [logistic(line(z), y[held], 0.1) for z in odds]
     calibrate = np.array([(f[1], f[0]) for f in fits])
     own = [z * s + t for z, (s, t) in zip(odds, calibrate)]
     combine = logistic(np.column_stack([np.ones(len(own[0])), *own]), y[held], 0.1)
-    return Model(*views, calibrate, combine, rounds)
+    return Model(*views, calibrate, combine, counts)
 
 
 def train(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityParams()) -> Model | None:
@@ -234,8 +399,32 @@ def train(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityPar
     if not rows or not (0 < y[held].sum() < held.sum() and 0 < y[~held].sum() < (~held).sum()):
         return None
     x = np.array([r["x"] for r in rows])
-    pool = unlabelled(columns, labels, p.pool).select(x_of.alias("x")).collect()
-    return co_train(x, y, np.array([r["x"] for r in pool]).reshape(-1, x.shape[1]), held, p)
+    views = make_views(x, p)
+    shared = docs.sparkSession.sparkContext.broadcast(views)
+
+    @F.pandas_udf("binary")
+    def codes(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        for texts, langs, sources, sizes in batches:
+            rows = [row_features(*r) for r in zip(texts, langs, sources, sizes)]
+            if rows:
+                yield pd.Series([c.tobytes() for c in all_codes(shared.value, np.array(rows))], index=texts.index)
+            else:
+                yield pd.Series([], dtype=object)
+
+    # Texts stay where they are; one row per id.
+    ids = labels.select(F.col("doc_id").alias("l_id")).filter("l_id IS NOT NULL").distinct()
+    slim = columns.select("doc_id", codes("text", "lang", "source", "n_chars").alias("codes"))
+    free = (
+        slim.filter("doc_id IS NOT NULL")
+        .groupBy("doc_id")
+        .agg(F.min("codes").alias("codes"))
+        .join(ids, F.col("doc_id") == F.col("l_id"), "left_anti")
+        .select("codes", (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))).alias("u"))
+    )
+    path = shared_dir(docs.sparkSession, "quality_pool")
+    free.write.parquet(path)
+    pool = StoredPool(docs.sparkSession.read.schema("codes binary, u double").parquet(path))
+    return co_train(x, y, pool, held, p, views)
 
 
 def score_columns(model: Model | None, text: Column, lang: Column, source: Column, n_chars: Column) -> Column:

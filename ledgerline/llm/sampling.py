@@ -33,18 +33,6 @@ def labelled(
     return _one_row(met, docs.columns, "l_value").withColumnRenamed("l_value", label)
 
 
-def unlabelled(docs: DataFrame, labels: DataFrame, most: int, salt: int = 2) -> DataFrame:
-    """At most ``most`` documents without a label, one row per id, chosen by hash."""
-    ids = docs.select(F.col("doc_id").alias("u_id")).filter("u_id IS NOT NULL").distinct()
-    chosen = (
-        ids.join(labels.select(F.col("doc_id").alias("u_id")), "u_id", "left_anti")
-        .orderBy(_order("u_id", salt), "u_id")
-        .limit(most)
-    )
-    met = docs.join(F.broadcast(chosen), docs["doc_id"] == chosen["u_id"])
-    return _one_row(met, docs.columns)
-
-
 def _one_row(df: DataFrame, columns: list[str], *more: str) -> DataFrame:
     rest = [c for c in columns if c != "doc_id"]
     one = F.min(F.struct(*[F.col(c) for c in [*rest, *more]])).alias("one")

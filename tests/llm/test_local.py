@@ -178,6 +178,21 @@ def test_co_training_teaches_the_other_view():
     assert quality.row_features(None, None, None, float("nan"))[: quality.N_CONTENT] == [0.0] * quality.N_CONTENT
 
 
+def test_pseudo_labels_grow_with_the_unlabelled_documents():
+    rng = np.random.default_rng(1)
+    n = 30_000
+    y = (rng.random(n) < 0.8).astype(float)
+    x = rng.standard_normal((n, quality.N_CONTENT + quality.N_META + 2))
+    x[:, 1] += 4 * y
+    x[:, quality.N_CONTENT + 3] += 4 * y
+    x[:, -2:] = rng.integers(0, quality.GROUPS, (n, 2))
+    model = quality.co_train(x[:300], y[:300], x[300:], np.arange(300) % 4 == 0, quality.QualityParams())
+    assert sum(map(sum, model.rounds)) > 2 * 4 * 400
+    assert quality.cut(np.array([5, 4, 2]), 4) == (1, 0.5)
+    assert quality.cut(np.array([5, 4, 2]), 11) == (0, 1.0)
+    assert quality.cut(np.array([0, 4, 0]), 1) == (1, 0.25)
+
+
 def test_simhash_equals_counting_bits():
     import xxhash
 

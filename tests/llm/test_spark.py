@@ -248,6 +248,16 @@ def test_quality(spark, docs, none):
     assert docs.select(quality.score_columns(None, *cols)["score"].alias("s")).distinct().first().s == 0.5
 
 
+def test_a_stored_pool_sums_like_one_in_memory(spark):
+    codes = np.random.default_rng(3).integers(0, 8, (500, 21)).astype(np.uint8)
+    pool = quality.Pool(codes)
+    rows = [(c.tobytes(), float(u)) for c, u in zip(codes, pool.u)]
+    stored = quality.StoredPool(spark.createDataFrame(rows, "codes binary, u double").repartition(7))
+    f = lambda c, u: np.array([len(c), c[:, 3].sum(), u.sum(), 0.0, 0.0])
+    assert len(stored) == 500 and np.allclose(stored.sum(f), pool.sum(f))
+    assert np.allclose(stored.sum(lambda c, u: np.zeros(3)), np.zeros(3))
+
+
 def test_warc(spark):
     big = "<html>" + "x" * 200 + "\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n</html>é"
     rows = [(3, "http://a.b/c", big), (1, "http://a.b/d e\n", big), (7, None, big), (None, "u", big), (2, "u", None)]
