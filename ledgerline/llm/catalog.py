@@ -42,8 +42,8 @@ def op2_lm_scoring(spark, sf_dir):
 
 
 def op3_best_fit_packing(spark, sf_dir):
-    """Every document's pieces with their bins."""
-    return packing.pack(table(spark, sf_dir, "documents"))
+    """Every document's pieces with their bins; near copies are kept apart."""
+    return packing.pack(table(spark, sf_dir, "documents"), near=True)
 
 
 def op4_top_k_search(spark, sf_dir):

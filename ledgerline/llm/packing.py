@@ -33,6 +33,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm import simhash
 from ledgerline.session import shared_dir
 
 WORD = "[^\\x20\\x09-\\x0D]+"
@@ -125,28 +126,36 @@ def pack(
     capacity: int = 2048,
     per_source: int = 2,
     shard: int = 8192,
+    near: bool = False,
 ) -> DataFrame:
     """One row per packed piece: its bin, its place in the bin, and its words.
 
     ``cluster``: which rows are copies of each other; by default those whose
-    text is equal but for case and the amount of white space.
+    text is equal but for case and the amount of white space. With ``near``
+    (and no ``cluster``) those of one SimHash group, near copies too; the
+    fingerprint is of the lower-cased words, so such equal texts are among them.
     """
     spark = docs.sparkSession
     same_text = F.xxhash64(F.lower(F.array_join("words", " ")))
+    near = near and cluster is None
+    if near:
+        given = simhash.fingerprint(F.lower(F.col(text)))
+    else:
+        given = F.lit(0) if cluster is None else F.xxhash64(cluster)
     slim = (
         docs.select(
             F.col(doc_id).isNotNull().alias("has_id"),
             F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("doc_id"),
             F.col(source).cast("string").alias("source"),
             F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)).alias("words"),
-            (F.lit(0) if cluster is None else F.xxhash64(cluster)).alias("given"),
+            given.alias("given"),
         )
         .select(
             "has_id",
             "doc_id",
             F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("source"),
             F.size("words").alias("n"),
-            (same_text if cluster is None else F.col("given")).alias("cluster"),
+            (same_text if cluster is None and not near else F.col("given")).alias("cluster"),
         )
         .filter("n > 0")
         .groupBy("has_id", "doc_id", "source", "n", "cluster")
@@ -155,6 +164,17 @@ def pack(
     path = shared_dir(spark, "packing")
     slim.write.parquet(path)
     slim = spark.read.schema(slim.schema).parquet(path)
+    if near:
+        prints = slim.select(F.col("cluster").alias("fp")).distinct()
+        prints.write.parquet(f"{path}_prints")
+        named = simhash.groups(spark.read.schema("fp long").parquet(f"{path}_prints"))
+        slim = slim.join(named, slim["cluster"] == named["fp"]).select(
+            "has_id", "doc_id", "source", "n", F.col("group").alias("cluster"), "copies"
+        )
+        # Rows of one group and length are one row again, so that copies are numbered apart.
+        slim = slim.groupBy("has_id", "doc_id", "source", "n", "cluster").agg(F.sum("copies").alias("copies"))
+        slim.write.parquet(f"{path}_groups")
+        slim = spark.read.schema(slim.schema).parquet(f"{path}_groups")
     n_pieces = F.ceil(F.col("n") / F.lit(capacity)).cast("int")
     total = slim.agg(F.sum(n_pieces * F.col("copies"))).first()[0] or 0
     shards = max(1, math.ceil(total / shard))

@@ -133,6 +133,14 @@ def links(prints: DataFrame, distance: int = 3, bucket: int = BUCKET) -> DataFra
     return first.unionAll(second).distinct()
 
 
+def groups(prints: DataFrame, distance: int = 3) -> DataFrame:
+    """(fp, group): the connected component of each distinct fingerprint (column fp)."""
+    linked = components(links(prints, distance))
+    return prints.join(linked, prints.fp == linked.node, "left").select(
+        "fp", F.coalesce("component", "fp").alias("group")
+    )
+
+
 def near_duplicates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, distance: int = 3
 ) -> DataFrame:

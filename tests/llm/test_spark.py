@@ -125,6 +125,20 @@ def test_packing(docs, none):
     assert packing.pack(none).count() == 0
 
 
+def test_near_copies_share_no_bin(spark, tmp_path):
+    from ledgerline.llm.catalog import op3_best_fit_packing
+
+    r = random.Random(4)
+    words = [f"w{r.randrange(5000)}" for _ in range(600)]
+    texts = [" ".join(words), " ".join([*words[:-1], "changed"]), "zwölf Öfen", "ZWÖLF  öfen", _text(50, 3)]
+    prints = [simhash.simhash(t) & (2**64 - 1) for t in texts[:2]]
+    assert bin(prints[0] ^ prints[1]).count("1") <= 3
+    rows = {"doc_id": list(range(5)), "text": texts, "source": list("abcde")}
+    pq.write_table(pa.table(rows), f"{tmp_path}/documents.parquet")
+    at = {r.doc_id: r.bin_id for r in op3_best_fit_packing(spark, str(tmp_path)).collect()}
+    assert len(at) == 5 and at[0] != at[1] and at[2] != at[3] and len(set(at.values())) == 2
+
+
 def test_top_k(spark):
     rnd = random.Random(2)
     rows = [(i, [rnd.uniform(-1, 1) for _ in range(5)]) for i in range(120)]
