@@ -10,10 +10,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
+    bpe_codec,
     decontamination,
     lm_scoring,
     packing,
     quality,
+    resampling,
     simhash,
     token_counts,
     topk,
@@ -112,6 +114,26 @@ def op10_simhash(spark, sf_dir):
     )
 
 
+def op11_importance_resampling(spark, sf_dir):
+    """Weight, score and rank of every document, drawn towards the benchmark's words."""
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_bpe_codec(spark, sf_dir):
+    """Digests of every document's token ids and of the text that they decode to."""
+    vocabulary = bpe_codec.read_vocabulary()
+    docs = table(spark, sf_dir, "documents")
+    encoded = docs.select("doc_id", bpe_codec.encode(F.col("text"), vocabulary).alias("ids"))
+    decoded = encoded.select("doc_id", "ids", bpe_codec.decode(F.col("ids"), vocabulary).alias("decoded"))
+    digits = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(digits.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -125,6 +147,8 @@ QUERIES = {
         op8_warc,
         op9_quality,
         op10_simhash,
+        op11_importance_resampling,
+        op12_bpe_codec,
     )
 }
 
@@ -199,4 +223,60 @@ ORACLE = {
                CASE WHEN f.first < p.page_id THEN f.first END AS refers_to
         FROM p LEFT JOIN f ON p.body = f.body
     """,
+    # A word's crc32 by the table method, over the distinct words only.
+    "op11_importance_resampling": r"""
+        WITH polynomial AS (
+            SELECT list(r ORDER BY i) AS t FROM (
+                SELECT i, list_reduce(range(8),
+                    lambda acc, k: CASE WHEN acc & 1 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END, i) AS r
+                FROM (SELECT unnest(range(256)) AS i))
+        ), both_sides AS (
+            SELECT 's' AS side, row_number() OVER () AS row, doc_id AS id, text FROM documents
+            UNION ALL SELECT 't', NULL, item_id, text FROM benchmark
+        ), lists AS (
+            SELECT side, row, id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM both_sides
+        ), uses AS (
+            SELECT side, row, word, count(*) AS k FROM (SELECT side, row, unnest(w) AS word FROM lists)
+            GROUP BY ALL
+        ), bytes AS (
+            SELECT word, list_transform(range(1, strlen(word) + 1),
+                lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i - 1, 2) AS BIGINT)) AS b
+            FROM (SELECT DISTINCT word FROM uses)
+        ), buckets AS (
+            SELECT word, xor(list_reduce(b,
+                lambda acc, x: xor(acc >> 8, t[(xor(acc, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+            FROM bytes, polynomial
+        ), counts AS (
+            SELECT bucket, coalesce(sum(k) FILTER (side = 's'), 0) AS s, coalesce(sum(k) FILTER (side = 't'), 0) AS t
+            FROM uses JOIN buckets USING (word) GROUP BY bucket
+        ), totals AS (SELECT sum(s) AS s_all, sum(t) AS t_all FROM counts),
+        gain AS (
+            SELECT bucket, CAST(floor(1000 * ln(
+                CAST((t + 1) * (s_all + 10000) AS DOUBLE) / CAST((s + 1) * (t_all + 10000) AS DOUBLE))) AS BIGINT) AS g
+            FROM counts, totals
+        ), sums AS (
+            SELECT row, sum(k * g) AS total FROM uses JOIN buckets USING (word) JOIN gain USING (bucket)
+            WHERE side = 's' GROUP BY row
+        ), weighted AS (
+            SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_features,
+                CAST(CASE WHEN len(w) = 0 THEN 0
+                     ELSE (total - ((total % len(w)) + len(w)) % len(w)) // len(w) END AS BIGINT) AS weight,
+                CAST('0x' || substr(sha256('2024:' || CAST(id AS VARCHAR)), 1, 8) AS BIGINT) AS h
+            FROM lists LEFT JOIN sums USING (row) WHERE side = 's'
+        ), scored AS (
+            SELECT doc_id, n_features, weight,
+                weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+            FROM weighted
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+                count(*) FILTER (n_features >= 20) OVER () AS n
+            FROM scored
+        )
+        SELECT doc_id, n_features, weight, score,
+            CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN CAST(place AS BIGINT) END AS rank
+        FROM ranked
+    """,
 }

@@ -1,0 +1,95 @@
+"""Resampling weights and exact ranks against brute force."""
+
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+from zlib import crc32
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerline.llm import resampling
+from ledgerline.llm.resampling import ResampleParams, exact_ranks, resample
+
+SCHEMA = "doc_id long, text string, rank string, row string, score string, segment string"
+
+
+def _words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low)
+
+
+def _brute(rows, target, p):
+    feats = lambda t: [
+        " ".join(w[i : i + m]) for w in [_words(t)] for m in range(1, p.run + 1) for i in range(len(w) - m + 1)
+    ]
+    bucket = lambda f: crc32(f.encode()) % p.buckets
+    s = Counter(bucket(f) for _, t in rows for f in feats(t))
+    t = Counter(bucket(f) for x in target for f in feats(x))
+    s_all, t_all = sum(s.values()) + p.buckets, sum(t.values()) + p.buckets
+    gain = lambda b: math.floor(p.scale * math.log((t[b] + 1) * s_all / ((s[b] + 1) * t_all)))
+    out = []
+    for i, text in rows:
+        f = feats(text)
+        weight = sum(gain(bucket(x)) for x in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"{p.salt}{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-p.scale * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([i, len(f), weight, score, len(_words(text)) >= p.least_words])
+    able = sorted((r for r in out if r[4]), key=lambda r: (-r[3], -(2**63) if r[0] is None else r[0]))
+    ranks = [(*r[:4], n if n <= p.percent * len(able) // 100 else None) for n, r in enumerate(able, 1)]
+    return Counter(ranks + [(*r[:4], None) for r in out if not r[4]])
+
+
+def _rows():
+    r = random.Random(5)
+    text = lambda n: " ".join(r.choice("one Two three-four É ß 7 x_y alpha".split()) for _ in range(n))
+    rows = [(i, text(r.randrange(0, 60))) for i in range(120)]
+    rows += [(200, None), (201, ""), (202, "..."), (None, text(30)), (203, text(4000))]
+    return rows + [rows[3]] * 3 + [(204, rows[4][1])]  # repeated rows, an equal text
+
+
+@pytest.mark.parametrize("run", [1, 2])
+def test_weights_scores_and_ranks(spark, run):
+    rows = _rows()
+    docs = spark.createDataFrame([(*x, "a", "b", "c", "d") for x in rows], SCHEMA).repartition(4)
+    target = ["ALPHA alpha one", None, "", "é é two"]
+    bench = spark.createDataFrame([(t,) for t in target], "text string")
+    p = ResampleParams(run=run, buckets=64, percent=40, segment=8)  # many segments
+    got = resample(docs, bench, params=p)
+    assert got.columns == ["doc_id", "n_features", "weight", "score", "rank"]
+    assert Counter(tuple(r) for r in got.collect()) == _brute(rows, target, p)
+
+
+def test_empty_tables(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    some = spark.createDataFrame([(*x, "", "", "", "") for x in _rows()], SCHEMA)
+    assert resample(none, some).count() == 0
+    got = Counter(tuple(r) for r in resample(some, none).collect())
+    assert got == _brute(_rows(), [], ResampleParams())
+
+
+@pytest.mark.parametrize("limit", [10**6, 40])  # samples on the driver, and ranked by the sort itself
+def test_exact_ranks_with_a_hot_key(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(resampling, "SAMPLES", limit)
+    r = random.Random(2)
+    rows = [(7 if i % 3 == 0 else r.randrange(-(2**62), 2**62), i) for i in range(30_000)]
+    path = f"{tmp_path}/rows"
+    spark.createDataFrame(rows, "k long, i long").repartition(5).write.parquet(path)
+    got = exact_ranks(spark.read.parquet(path), ["k", "i"], 500, 4096)
+    ranked = [(x.k, x.i) for x in got.orderBy("rank").collect()]
+    assert ranked == sorted(rows)
+    assert got.agg(F.count_distinct("rank"), F.min("rank"), F.max("rank")).first()[:] == (30_000, 1, 30_000)
+    few = exact_ranks(spark.read.parquet(path), ["k", "i"], 500, 3)  # no more than three segments
+    assert [(x.k, x.i) for x in few.orderBy("rank").collect()] == sorted(rows)
+
+
+def test_segments_are_even_although_a_key_is_hot(spark, tmp_path):
+    path = f"{tmp_path}/rows"
+    spark.range(20_000).select(F.lit(1).cast("long").alias("k"), F.col("id").alias("i")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    cuts = resampling._splitters(rows, ["k", "i"], 16, 20)
+    keys = resampling._sortable([x.to_numpy() for x in rows.toArrow().columns])
+    sizes = Counter(cuts.searchsorted(keys, side="right").tolist())
+    assert len(sizes) == 20 and max(sizes.values()) <= 2 * 1000
