@@ -5,9 +5,8 @@ what is written here is how a word becomes tokens. Plain byte-pair encoding
 merges the pair of lowest rank again and again. The backtracking encoder gives
 the same tokens from left to right in linear time:
 
-- an Aho-Corasick automaton over the reversed tokens runs once over the
-  reversed word and finds, for each place, the tokens that begin there, the
-  longest first;
+- an Aho-Corasick automaton over the tokens gives the longest token that begins
+  at a place; a table gives the next shorter one that begins as it does;
 - two neighbours are compatible if merging their joined symbols leaves exactly
   these two. Undoing the merges of both, the later one first, shows every pair
   that ever met at their border; the neighbours are incompatible if one of
@@ -47,13 +46,30 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.tokenizer import SPACE
 
-CHUNK_CHARS = 64  # longest run without white space that is kept
-CHUNKS = 150_000
-PAIRS = 1_000_000
+KEPT_CHARS = 64  # longest run without white space that is kept
+KEPT_CHUNKS, KEPT_WORDS = 250_000, 150_000  # entries of a generation
+PAIRS = 500_000
 BLOCK = 200_000  # ids decoded at a time
+# The pre-token pattern of the public vocabulary.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Printable ASCII and the Latin letters up to U+017F: the normaliser changes
+# nothing but their case there (U+0130 apart), and the pattern reads as follows.
+PLAIN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+").fullmatch
+LATIN = "a-z\u00df-\u00f6\u00f8-\u017f"
+PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LATIN}]+|[0-9]|[^{LATIN}0-9]+").findall
 LAST = 0x10000  # added to a word's last symbol, where the vocabulary marks word ends
 
 
+def byte_chars() -> dict[int, str]:
+    """The characters that byte-level vocabularies write for bytes that are not printable."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    odd = [b for b in range(256) if b not in printable]
+    return {b: chr(256 + i) for i, b in enumerate(odd)}
+
+
+BYTE_CHARS = byte_chars()
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 
@@ -124,6 +140,8 @@ class WordEncoder:
 
         self.merges = merges
         self.pairs: dict[tuple[int, int], bool] = {}
+        self.sizes = [len(x) for x in merges.texts]
+        self.whole: dict[str, int] = {}
         usable = [True] * len(merges.ids)
         automaton = ahocorasick.Automaton()
         for t, text in enumerate(merges.texts):
@@ -131,18 +149,22 @@ class WordEncoder:
                 a, b = merges.left[t], merges.right[t]
                 usable[t] = usable[a] and usable[b] and merges.compatible(a, b, t)
             if usable[t]:
-                automaton.add_word(text[::-1], t)
+                automaton.add_word(text, t)
+                self.whole[text] = t
         automaton.make_automaton()
-        self.matches = automaton.iter
-        self.sizes = [len(x) for x in merges.texts]
-        self.whole = {x: t for t, x in enumerate(merges.texts) if usable[t]}
+        self.longest = automaton.iter_long
+        # The longest token that a token begins with, itself apart, or -1.
+        self.shorter = [-1] * len(merges.ids)
+        for text, t in self.whole.items():
+            for n in range(len(text) - 1, 0, -1):
+                if (shorter := self.whole.get(text[:n])) is not None:
+                    self.shorter[t] = shorter
+                    break
 
     def fits(self, a: int, b: int) -> bool:
-        known = self.pairs.get((a, b))
-        if known is None:
-            known = self.merges.compatible(a, b)
-            if len(self.pairs) < PAIRS:
-                self.pairs[a, b] = known
+        known = self.merges.compatible(a, b)
+        if len(self.pairs) < PAIRS:
+            self.pairs[a, b] = known
         return known
 
     def tokens(self, word: str) -> list[int]:
@@ -150,38 +172,73 @@ class WordEncoder:
         whole = self.whole.get(word)
         if whole is not None:
             return [whole]
-        n = len(word)
-        begins: list[list[int]] = [[] for _ in range(n)]
-        for end, t in self.matches(word[::-1]):
-            begins[n - 1 - end].append(t)  # the longest first
-        alive = bytearray(b"\1") * (n + 1)
+        sizes, shorter, pairs, longest = self.sizes, self.shorter, self.pairs, self.longest
+        begins = {end + 1 - sizes[t]: t for end, t in longest(word)}  # the longest token at a place
         taken: list[int] = []
-        tried: list[int] = []  # which of the tokens at its place each taken one is
-        at = option = 0
-        sizes = self.sizes
-        while at < n:
-            here = begins[at]
-            while option < len(here):
-                t = here[option]
-                if alive[at + sizes[t]] and (not taken or self.fits(taken[-1], t)):
+        dead: set[int] = set()
+        at, n, last, t = 0, len(word), -1, begins.get(0, -1)
+        while True:
+            while t >= 0:
+                if last < 0:
+                    fits = True
+                elif (fits := pairs.get((last, t))) is None:
+                    fits = self.fits(last, t)
+                if fits and at + sizes[t] not in dead:
                     break
-                option += 1
-            else:
+                t = shorter[t]
+            if t < 0:
                 if not taken:
                     raise ValueError("a symbol of the word is not in the vocabulary")
-                alive[at] = 0
-                at -= sizes[taken.pop()]
-                option = tried.pop() + 1
+                dead.add(at)
+                t = taken.pop()
+                at -= sizes[t]
+                last, t = taken[-1] if taken else -1, shorter[t]
                 continue
             taken.append(t)
-            tried.append(option)
             at += sizes[t]
-            option = 0
-        return taken
+            if at == n:
+                return taken
+            last, t = t, begins.get(at, -1)
+            if t < 0:
+                begins[at] = t = next(longest(word, at))[1]
+
+
+def lower_words(about: dict) -> bool:
+    """Whether a vocabulary lower-cases its texts and cuts them by ``WORD_PATTERN``."""
+    steps = [s["type"] for s in about["normalizer"].get("normalizers", [])]
+    cuts = about["pre_tokenizer"].get("pretokenizers", [])
+    split = {"type": "Split", "pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True}
+    return (
+        steps == ["NFC", "Replace", "Lowercase"]
+        and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and cuts[0] == split
+        and not (cuts[1]["add_prefix_space"] or cuts[1]["use_regex"])
+    )
+
+
+class Kept:
+    """A bounded table of two generations: what is asked for again outlives a change of generation."""
+
+    def __init__(self, make, most: int):
+        self.make, self.most = make, most
+        self.new: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, key: str) -> bytes:
+        """The value of a key that is not in ``new``."""
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+            if len(key) > KEPT_CHARS:
+                return value
+        self.new[key] = value
+        if len(self.new) >= self.most:
+            self.old, self.new = self.new, {}
+        return value
 
 
 class TextEncoder:
-    """Ids of whole texts."""
+    """Ids of whole texts, as the bytes of 32-bit integers."""
 
     def __init__(self, vocabulary: bytes):
         from tokenizers import Tokenizer
@@ -189,37 +246,51 @@ class TextEncoder:
         about = json.loads(vocabulary)
         library = Tokenizer.from_str(vocabulary.decode())  # for its normaliser and pre-tokeniser only
         self.normalise, self.cut = library.normalizer.normalize_str, library.pre_tokenizer.pre_tokenize_str
+        self.plain = PLAIN if lower_words(about) else lambda part: None
         self.special = {t["content"]: t["id"] for t in about["added_tokens"]}
         by_length = sorted(self.special, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, by_length)) + ")") if by_length else None
-        self.merges = Merges(about["model"])
-        self.words = WordEncoder(self.merges)
-        self.chunks: dict[str, array] = {}
+        merges = Merges(about["model"])
+        words, numbers = WordEncoder(merges), merges.ids
+        self.merges, self.encoder = merges, words
+        self.words = Kept(
+            lambda w: array("i", [numbers[t] for t in words.tokens(merges.word(w))]).tobytes(), KEPT_WORDS
+        )
+        self.chunks = Kept(self.encoded, KEPT_CHUNKS)
         self.split = re.compile(f"[^{SPACE}]+").findall
 
-    def encoded(self, chunk: str) -> array:
+    def encoded(self, chunk: str) -> bytes:
         """Ids of a run without white space: no word and no special token reaches beyond one."""
-        ids = array("i")
-        numbers, word = self.merges.ids, self.merges.word
+        ids, words = bytearray(), self.words
         for part in self.specials.split(chunk) if self.specials and "<" in chunk else (chunk,):
             if part in self.special:
-                ids.append(self.special[part])
+                ids += array("i", [self.special[part]]).tobytes()
             elif part:
-                for text, _ in self.cut(self.normalise(part)):
-                    ids.extend([numbers[t] for t in self.words.tokens(word(text))])
-        return ids
-
-    def ids(self, text: str | None) -> array:
-        out = array("i")
-        known = self.chunks
+                if self.plain(part):
+                    texts = PLAIN_WORDS(part.lower())
+                    if not part.isascii():
+                        texts = [t.encode().decode("latin-1").translate(BYTE_CHARS) for t in texts]
+                else:
+                    texts = [t for t, _ in self.cut(self.normalise(part))]
+                for text in texts:
+                    ids += words.new.get(text) or words.missing(text)
+        return bytes(ids)
+
+    def add(self, text: str | None, out: bytearray) -> None:
+        """Puts the ids of a text behind ``out``."""
+        chunks = self.chunks
+        new, missing = chunks.new, chunks.missing
         for chunk in self.split(text) if text else ():
-            ids = known.get(chunk)
+            ids = new.get(chunk)
             if ids is None:
-                ids = self.encoded(chunk)
-                if len(chunk) <= CHUNK_CHARS and len(known) < CHUNKS:
-                    known[chunk] = ids
-            out.extend(ids)
-        return out
+                ids = missing(chunk)
+                new = chunks.new
+            out += ids
+
+    def ids(self, text: str | None) -> list[int]:
+        out = bytearray()
+        self.add(text, out)
+        return np.frombuffer(out, np.int32).tolist()
 
 
 class Decoder:
@@ -267,11 +338,11 @@ def encode(text: Column, vocabulary: bytes | None = None) -> Column:
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = TextEncoder(known)
         for batch in batches:
-            values, ends = array("i"), [0]
+            values, ends = bytearray(), [0]
             for t in batch:
-                values.extend(encoder.ids(t.as_py()))
-                ends.append(len(values))
-            flat = np.frombuffer(values, np.int32) if len(values) else np.zeros(0, np.int32)
+                encoder.add(t.as_py(), values)
+                ends.append(len(values) // 4)
+            flat = np.frombuffer(values, np.int32)
             yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
     return ids(text)
@@ -287,8 +358,16 @@ def decode(ids: Column, vocabulary: bytes | None = None) -> Column:
         for batch in batches:
             sizes = batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             values = batch.flatten().fill_null(-1).to_numpy(zero_copy_only=False)
-            out, ends = decoder.texts(values, np.cumsum(sizes))
-            offsets = np.concatenate([[0], ends]).astype(np.int32)
-            yield pa.StringArray.from_buffers(len(sizes), pa.py_buffer(offsets), pa.py_buffer(out))
+            ends = np.cumsum(sizes)
+            parts, offsets, row = [], [np.zeros(1, np.int64)], 0
+            while row < len(sizes):  # a block of lists at a time
+                begin = ends[row] - sizes[row]
+                to = max(row + 1, int(np.searchsorted(ends, begin + BLOCK, side="right")))
+                out, at = decoder.texts(values[begin : ends[to - 1]], ends[row:to] - begin)
+                parts.append(out.tobytes())
+                offsets.append(at + offsets[-1][-1])
+                row = to
+            joined = np.concatenate(offsets).astype(np.int32)
+            yield pa.StringArray.from_buffers(len(sizes), pa.py_buffer(joined), pa.py_buffer(b"".join(parts)))
 
     return text(ids)

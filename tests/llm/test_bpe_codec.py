@@ -64,14 +64,33 @@ def _odd_texts():
 
 def test_ids_equal_the_library():
     for text in _odd_texts():
-        assert list(ENCODER.ids(text)) == LIBRARY.encode(text, add_special_tokens=False).ids
+        assert ENCODER.ids(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+
+
+def test_small_tables_give_the_same(monkeypatch):
+    monkeypatch.setattr(bpe_codec, "KEPT_CHUNKS", 3)
+    monkeypatch.setattr(bpe_codec, "KEPT_WORDS", 2)
+    small = TextEncoder(VOCABULARY)
+    for text in _odd_texts():
+        assert small.ids(text) == ENCODER.ids(text)
+
+
+def test_plain_path_equals_the_library():
+    r = random.Random(9)
+    for limit in (128, 0x180):
+        for _ in range(300):
+            text = "".join(chr(r.randrange(limit)) for _ in range(80))
+            assert ENCODER.ids(text) == LIBRARY.encode(text, add_special_tokens=False).ids
+    for c in range(0x21, 0x180):
+        for text in (chr(c), f"a{chr(c)}b", f"'{chr(c)}s1{chr(c)}"):
+            assert ENCODER.ids(text) == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=150, deadline=None)
 @given(st.text(max_size=60))
 def test_any_text_equals_the_library(text):
     ids = LIBRARY.encode(text, add_special_tokens=False).ids
-    assert list(ENCODER.ids(text)) == ids
+    assert ENCODER.ids(text) == ids
     out, ends = Decoder(VOCABULARY).texts(np.array(ids, np.int32), np.array([len(ids)]))
     assert out.tobytes().decode() == LIBRARY.decode(ids, skip_special_tokens=False)
 
