@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import (
     bpe_codec,
     decontamination,
+    hard_negatives,
     lm_scoring,
     packing,
     quality,
@@ -134,6 +135,15 @@ def op12_bpe_codec(spark, sf_dir):
     )
 
 
+def op13_hard_negatives(spark, sf_dir):
+    """The hardest negatives of every anchor and positive."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(
+        rows, "vec_id", moved, topk.integer_components(F.col("embedding")), F.col("vec_id") % 100 == 0
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -149,6 +159,7 @@ QUERIES = {
         op10_simhash,
         op11_importance_resampling,
         op12_bpe_codec,
+        op13_hard_negatives,
     )
 }
 
@@ -279,4 +290,36 @@ ORACLE = {
             CASE WHEN n_features >= 20 AND place <= 10 * n // 100 THEN CAST(place AS BIGINT) END AS rank
         FROM ranked
     """,
+    "op13_hard_negatives": """
+        WITH x AS (
+            SELECT vec_id, unnest(embedding) AS e, unnest(range(len(embedding))) AS pos
+            FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL
+        ), bad AS (
+            SELECT DISTINCT vec_id FROM x WHERE e IS NULL OR isnan(e) OR isinf(e)
+        ), v AS (
+            SELECT vec_id, pos, CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT) AS c
+            FROM x WHERE vec_id NOT IN (SELECT vec_id FROM bad)
+        ), l AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label FROM embeddings
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, d.vec_id, CAST(sum(a.c * d.c) AS BIGINT) AS score
+            FROM v a JOIN v d ON a.pos = d.pos AND a.vec_id <> d.vec_id
+            WHERE a.vec_id % 100 = 0
+            GROUP BY 1, 2
+        ), t AS (
+            SELECT s.*, la.label = ld.label AS same
+            FROM s JOIN l la ON s.anchor_id = la.vec_id JOIN l ld ON s.vec_id = ld.vec_id
+        ), p AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM (
+                SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+                FROM t WHERE same)
+            WHERE place <= 5
+        ), n AS (
+            SELECT p.*, t.vec_id AS negative_id, t.score AS negative_score, CAST(row_number() OVER (
+                PARTITION BY p.anchor_id, p.positive_id ORDER BY t.score DESC, t.vec_id) AS INTEGER) AS rank
+            FROM p JOIN t ON p.anchor_id = t.anchor_id AND NOT t.same
+                AND 30 * p.positive_score <= 100 * t.score AND 100 * t.score <= 90 * p.positive_score
+        )
+        SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+    """,
 }
