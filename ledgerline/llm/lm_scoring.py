@@ -14,15 +14,16 @@ How the work is spread:
 
 - counts: every training document is counted in its task; partial counts meet
   in one aggregation, and the whole table of counts is written once.
-- the ``hot`` most frequent counts travel to the tasks (at most ``hot``
-  entries, however large the corpus); every other word of a document joins
-  the table of counts.
-- weights: every training document (with ``train_every`` over 1, one in so many
-  by hash of its text) is encoded once and dealt to tasks of about
-  ``task_tokens`` tokens, at least ``workers`` of them, so their number follows
-  the input; their weights, of fixed size, are averaged after each of
-  ``rounds``, piece by piece on the executors, so that the driver gets one
-  set of weights however many tasks there are.
+- encoding: the ``hot`` most frequent counts travel to the tasks (at most
+  ``hot`` entries, however large the corpus). One pass turns every document
+  into ids, written once for training and scoring; every other word of a
+  document joins the table of counts.
+- weights: every training document is trained on once. It is dealt by hash of
+  its row to one of two rounds, one in ``first`` to the first, and in turn to
+  tasks of about ``task_tokens`` tokens, so their number follows the input. A
+  task's updates are of ``streams`` parallel streams, fewer where it has few
+  tokens. The tasks' weights, of fixed size, are averaged after each round in
+  two steps on the executors, so that the driver gets one set of weights.
 - scoring: documents of a batch run side by side, longest first, each with its
   own state from its first word to its end.
 
@@ -41,6 +42,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,7 @@ from ledgerline.session import shared_dir
 
 END = b""  # no word is empty
 PIECE = 4096  # weights added up at a time
+GROUPS = 64  # tasks whose weights are added up at once
 ROWS = 4096  # logits computed at a time, so that they stay in the cache
 RARE = 16  # classes of words outside the softmax vocabulary, by surface
 LOG10 = float(np.log(10.0))
@@ -60,11 +63,11 @@ class LmParams:
     classes: int = 64
     hidden: int = 16
     window: int = 24
-    streams: int = 24
-    rounds: int = 2
-    workers: int = 6
-    train_every: int = 1
+    streams: int = 384
+    updates: int = 200  # of a task at least, before streams are added
+    first: int = 8
     task_tokens: int = 2_000_000
+    least_tokens: int = 100_000  # of a task, where there are few
     rate: float = 0.08
     hot: int = 131_072
     batch: int = 2048
@@ -243,10 +246,11 @@ def new_weights(v: Vocabulary, p: LmParams) -> dict[str, np.ndarray]:
         "x": size(inputs, 3 * h),  # input word -> gates
         "h": size(h, 3 * h),
         "b": np.zeros(3 * h, np.float32),
-        "c": size(h, outs),
-        "cb": np.log((by_class + 0.5) / (by_class + 0.5).sum()).astype(np.float32),
-        "w": size(v.size, h),
-        "wb": np.log((v.unigram + 0.5) / max(v.unigram.sum(), 1)).astype(np.float32),
+        # State -> class, and state -> word of a class; the last row or column is the bias.
+        "c": np.vstack([size(h, outs), np.log((by_class + 0.5) / (by_class + 0.5).sum()).astype(np.float32)]),
+        "w": np.column_stack(
+            [size(v.size, h), np.log((v.unigram + 0.5) / max(v.unigram.sum(), 1)).astype(np.float32)]
+        ),
     }
 
 
@@ -258,15 +262,18 @@ def _sigmoid(x):
     return np.reciprocal(x, out=x)
 
 
-def gru_step(weights, word, state):
-    """One step for a batch: input word ids and states -> gates and new states."""
+def gru_step(weights, gates, state):
+    """One step for a batch: the input words' share of the gates and states -> gates and new states.
+
+    ``gates`` is overwritten.
+    """
     h = state.shape[1]
-    xa = weights["x"][word] + weights["b"]
     ha = state @ weights["h"]
-    rz = _sigmoid(xa[:, : 2 * h] + ha[:, : 2 * h])
+    gates[:, : 2 * h] += ha[:, : 2 * h]
+    rz = _sigmoid(gates[:, : 2 * h])
     r, z, hn = rz[:, :h], rz[:, h:], ha[:, 2 * h :]
     n = r * hn
-    n += xa[:, 2 * h :]
+    n += gates[:, 2 * h :]
     np.tanh(n, out=n)
     new = state - n
     new *= z
@@ -274,19 +281,18 @@ def gru_step(weights, word, state):
     return r, z, n, hn, new
 
 
-def _softmax(states, matrix, bias, rows, chosen):
-    """exp of the logits, their sums, and the logits chosen.
+def _softmax(states, matrix, rows, chosen):
+    """exp of the logits, their sums, and the logits chosen; ``states`` end in a one, ``matrix`` in the biases.
 
     Biases are log shares and states lie within (-1, 1), so exp is far from
     its limits; only where it is not, the largest logit is taken off first.
     """
     logits = states @ matrix
-    logits += bias
     own = logits[rows, chosen]
     e = np.exp(logits, out=logits)
     total = e @ np.ones(e.shape[1], e.dtype)
     if not (np.isfinite(total).all() and total.all()):
-        logits = states @ matrix + bias
+        logits = states @ matrix
         logits -= logits.max(axis=1, keepdims=True)
         own = logits[rows, chosen]
         e = np.exp(logits)
@@ -294,92 +300,129 @@ def _softmax(states, matrix, bias, rows, chosen):
     return e, total, own
 
 
+def class_of(starts: np.ndarray, outs: int) -> np.ndarray:
+    """The class of each target id: a word's, or one of its own for each rare class."""
+    classes = len(starts) - 1
+    return np.concatenate([np.repeat(np.arange(classes), np.diff(starts)), np.arange(classes, outs)]).astype(np.int16)
+
+
 def output_losses(weights, starts, states, target, grads=None):
-    """-ln P of each target id, given the states.
+    """-ln P of each target id, given the states (with a one behind each).
 
     A target is a word id, or ``size + r`` for the rare class r. With
     ``grads`` (a dict of arrays) the gradients of the sum are added there, and
     the gradient by the states is returned too.
     """
-    size, classes = int(starts[-1]), len(starts) - 1
-    rare = np.arange(classes, weights["c"].shape[1])
-    cls = np.concatenate([np.repeat(np.arange(classes), np.diff(starts)), rare]).astype(np.int16)[target]
-    back = None
-    if grads is None:
-        loss = np.empty(len(target), states.dtype)
-        for lo in range(0, len(target), ROWS):
-            own_cls = cls[lo : lo + ROWS]
-            _, total, own = _softmax(
-                states[lo : lo + ROWS], weights["c"], weights["cb"], np.arange(len(own_cls)), own_cls
-            )
-            loss[lo : lo + ROWS] = np.log(total) - own
-    else:
-        rows = np.arange(len(target))
-        e, total, own = _softmax(states, weights["c"], weights["cb"], rows, cls)
-        loss = np.log(total) - own
-        d = e / total[:, None]
-        d[rows, cls] -= 1
-        grads["c"] += states.T @ d
-        grads["cb"] += d.sum(axis=0)
-        back = d @ weights["c"].T
+    classes = len(starts) - 1
+    # By class, so that the words of a class are one slice.
+    cls = class_of(starts, weights["c"].shape[1])[target]
     order = np.argsort(cls, kind="stable")
-    edges = np.concatenate([[0], np.cumsum(np.bincount(cls, minlength=classes)[:classes])])
-    for k in np.flatnonzero(np.diff(edges)):
-        at = order[edges[k] : edges[k + 1]]
+    cls, target, states = cls[order], target[order], states[order]
+    loss = np.empty(len(target), states.dtype)
+    back = None if grads is None else np.empty((len(target), states.shape[1] - 1), states.dtype)
+    inner = weights["c"][:-1].T
+    for lo in range(0, len(target), ROWS):
+        at = slice(lo, min(lo + ROWS, len(target)))
+        rows = np.arange(at.stop - lo)
+        e, total, own = _softmax(states[at], weights["c"], rows, cls[at])
+        loss[at] = np.log(total) - own
+        if grads is not None:
+            e *= np.reciprocal(total)[:, None]
+            e[rows, cls[at]] -= 1
+            grads["c"] += states[at].T @ e
+            np.matmul(e, inner, out=back[at])
+    edges = np.searchsorted(cls, np.arange(classes + 1))
+    for k in np.flatnonzero(np.diff(edges)).tolist():
         lo, hi = int(starts[k]), int(starts[k + 1])
         if hi - lo == 1:
             continue
-        rows, word = np.arange(len(at)), target[at] - lo
-        s = states[at]
-        e, total, own = _softmax(s, weights["w"][lo:hi].T, weights["wb"][lo:hi], rows, word)
+        at = slice(int(edges[k]), int(edges[k + 1]))
+        s, w = states[at], weights["w"][lo:hi]
+        rows, word = np.arange(len(s)), target[at] - lo
+        e, total, own = _softmax(s, w.T, rows, word)
         loss[at] += np.log(total) - own
         if grads is not None:
-            d = e / total[:, None]
-            d[rows, word] -= 1
-            grads["w"][lo:hi] += d.T @ s
-            grads["wb"][lo:hi] += d.sum(axis=0)
-            back[at] += d @ weights["w"][lo:hi]
-    return loss, back
+            e *= np.reciprocal(total)[:, None]
+            e[rows, word] -= 1
+            grads["w"][lo:hi] += e.T @ s
+            back[at] += e @ w[:, :-1]
+    out = np.empty_like(loss)
+    out[order] = loss
+    if back is None:
+        return out, None
+    unsorted = np.empty_like(back)
+    unsorted[order] = back
+    return out, unsorted
+
+
+def _sum_by_word(words, rows):
+    """The distinct words and the sums of their rows."""
+    order = np.argsort(words, kind="stable")
+    words = words[order]
+    first = np.flatnonzero(np.concatenate([[True], words[1:] != words[:-1]]))
+    return words[first], np.add.reduceat(rows[order], first, axis=0)
 
 
 def train_window(weights, starts, words, targets, state):
     """Loss sum, gradients and last state of one window (time x streams).
 
     The state is set to zero where the input word is the end of a text (id 0).
+    The gradient of the input words is a pair: the distinct words, their rows.
     """
     steps, width = words.shape
-    h = state.shape[1]
-    kept, states = [], np.empty((steps, width, h), np.float32)
+    h, kind = state.shape[1], state.dtype
+    live = (words != 0).astype(kind)[:, :, None]
+    gates = weights["x"][words]
+    gates += weights["b"]
+    kept = []
+    states = np.empty((steps, width, h + 1), kind)
+    states[:, :, h] = 1
     for t in range(steps):
-        state = state * (words[t] != 0)[:, None]
-        r, z, n, hn, new = gru_step(weights, words[t], state)
+        state = state * live[t]
+        r, z, n, hn, new = gru_step(weights, gates[t], state)
         kept.append((state, r, z, n, hn))
-        states[t] = state = new
-    grads = {k: np.zeros_like(v) for k, v in weights.items()}
-    loss, back = output_losses(weights, starts, states.reshape(-1, h), targets.reshape(-1), grads)
+        states[t, :, :h] = state = new
+    grads = {k: np.zeros_like(v) for k, v in weights.items() if k != "x"}
+    loss, back = output_losses(weights, starts, states.reshape(-1, h + 1), targets.reshape(-1), grads)
     back = back.reshape(steps, width, h)
-    carry = np.zeros((width, h), np.float32)
-    dxs = np.empty((steps, width, 3 * h), np.float32)
+    carry = np.zeros((width, h), kind)
+    olds = np.empty((steps, width, h), kind)
+    dxs, dhs = np.empty((steps, width, 3 * h), kind), np.empty((steps, width, 3 * h), kind)
+    turned = np.ascontiguousarray(weights["h"].T)
     for t in range(steps - 1, -1, -1):
         old, r, z, n, hn = kept[t]
-        d = back[t] + carry
-        dn = d * (1 - z) * (1 - n * n)
-        dz = d * (old - n) * z * (1 - z)
-        dr = dn * hn * r * (1 - r)
-        dh = np.concatenate([dr, dz, dn * r], axis=1)
-        dxs[t] = np.concatenate([dr, dz, dn], axis=1)
-        grads["h"] += old.T @ dh
-        carry = (d * z + dh @ weights["h"].T) * (words[t] != 0)[:, None]
+        olds[t] = old
+        dx, dh = dxs[t], dhs[t]
+        d = back[t]
+        d += carry
+        dz = d * z  # of the old state, through the update gate
+        dn = dx[:, 2 * h :]
+        np.subtract(d, dz, out=dn)
+        dn *= 1 - n * n
+        carry = dz.copy()
+        dz *= old - n
+        dz *= 1 - z
+        dx[:, h : 2 * h] = dz
+        dr = dx[:, :h]
+        np.multiply(dn, hn, out=dr)
+        dr *= r * (1 - r)
+        dh[:, : 2 * h] = dx[:, : 2 * h]
+        np.multiply(dn, r, out=dh[:, 2 * h :])
+        carry += dh @ turned
+        carry *= live[t]
     flat = dxs.reshape(-1, 3 * h)
+    grads["h"] += olds.reshape(-1, h).T @ dhs.reshape(-1, 3 * h)
     grads["b"] += flat.sum(axis=0)
-    np.add.at(grads["x"], words.reshape(-1), flat)
+    grads["x"] = _sum_by_word(words.reshape(-1), flat)
     return float(loss.sum()), grads, state
 
 
 def fit(weights, starts, docs: list[np.ndarray], p: LmParams):
     """One pass over documents (ids, the end last) in parallel streams; the tokens seen."""
-    stream = np.concatenate([np.zeros(1, np.int64), *docs])
-    width = max(1, min(p.streams, (len(stream) - 1) // p.window))
+    kind = docs[0].dtype
+    stream = np.concatenate([np.zeros(1, kind), *docs])
+    width = min(p.streams, max(8, len(stream) // (p.window * p.updates)), (len(stream) - 1) // p.window)
+    width = max(1, width)
     steps = (len(stream) - 1) // width
     words = stream[: steps * width].reshape(width, steps).T
     targets = stream[1 : steps * width + 1].reshape(width, steps).T
@@ -387,62 +430,51 @@ def fit(weights, starts, docs: list[np.ndarray], p: LmParams):
     seen = {k: np.full_like(v, 1e-6) for k, v in weights.items()}
     for t in range(0, steps, p.window):
         w, y = words[t : t + p.window], targets[t : t + p.window]
-        _, grads, state = train_window(weights, starts, w, y, state)
+        _, grads, state = train_window(weights, starts, w, y.astype(np.int64), state)
+        scale = np.float32(w.size**-0.5)
         for k, g in grads.items():
-            at = np.unique(w) if k == "x" else slice(None)  # other inputs have no gradient
-            g = g[at] / w.size**0.5
-            seen[k][at] += g * g
-            weights[k][at] -= p.rate * g / np.sqrt(seen[k][at])
+            at, g = g if k == "x" else (slice(None), g)  # other inputs have no gradient
+            g *= scale
+            past = seen[k][at] + g * g
+            seen[k][at] = past
+            g *= p.rate / np.sqrt(past)
+            weights[k][at] -= g
     return steps * width
 
 
-def word_ids(words: list[bytes], ids: dict[bytes, int], size: int) -> np.ndarray:
-    """Ids of a document's words and its end (rare words: ``size + class``)."""
-    out = [ids.get(w, -1) for w in words]
-    for i, v in enumerate(out):
-        if v < 0:
-            out[i] = size + rare_class(words[i])
-    out.append(0)
-    return np.array(out, dtype=np.int64)
+def id_type(v: Vocabulary):
+    return np.uint16 if v.size + RARE <= 1 << 16 else np.int32
 
 
-def train(
-    texts: DataFrame, text: str, v: Vocabulary, p: LmParams, root: str
-) -> dict[str, np.ndarray]:
-    """Weights averaged over tasks of about ``task_tokens`` tokens after each of ``rounds`` passes."""
-    weights = new_weights(v, p)
-    if not v.size or END not in v.ids:
-        return weights
-    spark = texts.sparkSession
-    kind = np.uint16 if v.size + RARE <= 1 << 16 else np.int32
-    known = spark.sparkContext.broadcast((v.ids, v.size))
+def _mean(batch: pa.Table, keys: list[str]) -> pa.Table:
+    """The mean of pieces of weights, weighted by their tokens."""
+    counts = batch.column("n").to_pylist()
+    total, mean = sum(counts), 0.0
+    for n, piece in zip(counts, batch.column("piece").to_pylist()):
+        mean = mean + np.frombuffer(piece, np.float64) * (n / total)
+    return pa.table(
+        {k: batch.column(k).slice(0, 1) for k in keys}
+        | {"n": pa.array([total], pa.int64()), "piece": pa.array([mean.tobytes()], pa.binary())}
+    )
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, size = known.value
-        for b in batches:
-            docs = [word_ids(ascii_words(t.as_py()), ids, size) for t in b.column(0)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([len(d) for d in docs], pa.int64()),
-                    pa.array([d.astype(kind).tobytes() for d in docs], pa.binary()),
-                ],
-                names=["n", "ids"],
-            )
 
-    sample = texts.select(text)
-    if p.train_every > 1:
-        sample = sample.filter(
-            F.pmod(F.xxhash64(F.coalesce(F.col(text), F.lit(""))), F.lit(p.train_every)) == 0
-        )
-    # Encoded and written once for all rounds.
-    sample.mapInArrow(encode, "n long, ids binary").write.parquet(f"{root}/encoded")
-    encoded = spark.read.schema("n long, ids binary").parquet(f"{root}/encoded")
-    tokens = encoded.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    tasks = max(p.workers, -(-tokens // p.task_tokens))
-    # Dealt in turn, so that copies of one text don't meet in one task.
-    dealt = encoded.select("ids").repartition(tasks)
+def train(encoded: DataFrame, v: Vocabulary, p: LmParams) -> dict[str, np.ndarray]:
+    """Weights trained on ``encoded``: row, n (tokens) and ids (as bytes of ``id_type``) of training documents.
+
+    ``encoded`` is read several times, so it should be a stored table.
+    """
+    weights, kind = new_weights(v, p), id_type(v)
+    if not v.size or END not in v.ids:
+        return weights
+    spark = encoded.sparkSession
     names, shapes = list(weights), {k: w.shape for k, w in weights.items()}
-    for _ in range(p.rounds):
+    part = F.pmod(F.xxhash64("row"), F.lit(p.first)) == 0
+    for now in (part, ~part):
+        chosen = encoded.filter(now)
+        tokens = chosen.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        if not tokens:
+            continue
+        tasks = max(1, -(-tokens // p.task_tokens), min(8, tokens // p.least_tokens))
         shared = spark.sparkContext.broadcast((weights, v.starts))
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,7 +483,7 @@ def train(
             tokens, docs, held = 0, [], 0
             for b in batches:
                 for t in b.column(0):
-                    docs.append(np.frombuffer(t.as_py(), kind).astype(np.int64))
+                    docs.append(np.frombuffer(t.as_py(), kind))
                     held += len(docs[-1])
                     if held > p.task_tokens:  # bounds the memory of a task
                         tokens += fit(own, starts, docs, p)
@@ -459,72 +491,64 @@ def train(
             if held:
                 tokens += fit(own, starts, docs, p)
             if tokens:
-                flat = np.concatenate([own[k].reshape(-1) for k in names])
+                flat = np.concatenate([own[k].reshape(-1) for k in names]).astype(np.float64)
                 at = range(0, len(flat), PIECE)
+                group = TaskContext.get().partitionId() // GROUPS
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(at, pa.int64()),
+                        pa.array([group] * len(at), pa.int64()),
                         pa.array([tokens] * len(at), pa.int64()),
                         pa.array([flat[i : i + PIECE].tobytes() for i in at], pa.binary()),
                     ],
-                    names=["at", "n", "piece"],
-                )
-
-        def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            sums: dict[int, np.ndarray] = {}
-            counts: Counter = Counter()
-            for b in batches:
-                for at, n, piece in zip(*(c.to_pylist() for c in b.columns)):
-                    counts[at] += n
-                    sums[at] = sums.get(at, 0) + n * np.frombuffer(piece, np.float32).astype(np.float64)
-            if sums:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(list(sums), pa.int64()),
-                        pa.array([(x / counts[at]).astype(np.float32).tobytes() for at, x in sums.items()], pa.binary()),
-                    ],
-                    names=["at", "piece"],
+                    names=["at", "team", "n", "piece"],
                 )
 
-        pieces = dealt.mapInArrow(work, "at long, n long, piece binary")
-        rows = pieces.repartition(p.workers, "at").mapInArrow(average, "at long, piece binary").collect()
+        # Dealt in turn, so that copies of one text don't meet in one task.
+        pieces = chosen.select("ids").repartition(tasks).mapInArrow(work, "at long, team long, n long, piece binary")
+        if tasks > GROUPS:
+            pieces = pieces.groupBy("at", "team").applyInArrow(
+                lambda t: _mean(t, ["at", "team"]), "at long, team long, n long, piece binary"
+            )
+        rows = pieces.groupBy("at").applyInArrow(lambda t: _mean(t, ["at"]), "at long, n long, piece binary").collect()
         shared.unpersist()
-        if not rows:
-            break
-        mean = np.concatenate([np.frombuffer(r["piece"], np.float32) for r in sorted(rows, key=lambda r: r["at"])])
+        mean = np.concatenate([np.frombuffer(r["piece"], np.float64) for r in sorted(rows, key=lambda r: r["at"])])
         at = 0
         for k in names:
             size = int(np.prod(shapes[k]))
-            weights[k] = mean[at : at + size].reshape(shapes[k]).copy()
+            weights[k] = mean[at : at + size].reshape(shapes[k]).astype(np.float32)
             at += size
     return weights
 
 
-def score_batch(weights, v: Vocabulary, docs: list[np.ndarray], p: LmParams) -> np.ndarray:
+def score_batch(weights, starts, docs: list[np.ndarray], p: LmParams) -> np.ndarray:
     """log10 P of each document (ids), rare words counted as their class only."""
-    scores = np.zeros(len(docs))
+    scores, h = np.zeros(len(docs)), p.hidden
     order = np.argsort([-len(d) for d in docs], kind="stable")
-    gates = {**weights, "x": weights["x"] + weights["b"], "b": np.float32(0)}
+    inputs = weights["x"] + weights["b"]
     for lo in range(0, len(docs), p.batch):
         part = order[lo : lo + p.batch]
         lengths = np.array([len(docs[i]) for i in part])
-        state = np.zeros((len(part), p.hidden), np.float32)
+        state = np.zeros((len(part), h), np.float32)
         last = np.zeros(len(part), np.int64)  # a text starts as if an end came before it
         flat = np.concatenate([docs[i] for i in part])
         start = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        for t in range(0, int(lengths[0]), p.window):
-            states, targets, who = [], [], []
-            for s in range(t, min(t + p.window, int(lengths[0]))):
-                live = int(np.searchsorted(-lengths, -s, side="left"))
-                if live < len(state):
-                    state, last = state[:live], last[:live]
-                state = gru_step(gates, last, state)[4]
-                last = flat[start[:live] + s]
-                states.append(state)
-                targets.append(last)
-                who.append(part[:live])
-            loss, _ = output_losses(weights, v.starts, np.concatenate(states), np.concatenate(targets))
-            scores -= np.bincount(np.concatenate(who), weights=loss, minlength=len(docs))
+        alive = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # documents longer than a step's number
+        for t in range(0, len(alive), p.window):
+            live = alive[t : t + p.window]
+            ends = np.concatenate([[0], np.cumsum(live)])
+            states = np.empty((ends[-1], h + 1), np.float32)
+            states[:, h] = 1
+            targets = np.empty(ends[-1], np.int64)
+            who = np.empty(ends[-1], np.int64)
+            for s, n in enumerate(live.tolist()):
+                at = slice(ends[s], ends[s + 1])
+                state = gru_step(weights, inputs[last[:n]], state[:n])[4]
+                states[at, :h] = state
+                last = targets[at] = flat[start[:n] + (t + s)]
+                who[at] = part[:n]
+            loss, _ = output_losses(weights, starts, states, targets)
+            scores -= np.bincount(who, weights=loss, minlength=len(docs))
     return scores / LOG10
 
 
@@ -542,66 +566,74 @@ def score_documents(
     """
     p, spark = params, docs.sparkSession
     root = shared_dir(spark, "lm")
-    learn = docs.filter(training).select(F.col(text).alias("t"))
+    may_learn = F.coalesce(training, F.lit(False))
+    learn = docs.filter(may_learn).select(F.col(text).alias("t"))
     count_words(learn, "t", p.flush).write.parquet(f"{root}/counts")
     counts = spark.read.schema("token string, n long").parquet(f"{root}/counts")
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     hot = hot_counts(counts, p.hot)
     vocabulary = build_vocabulary(hot, rare_totals(counts), p)
-    weights = train(learn, "t", vocabulary, p, root)
-
-    shared = spark.sparkContext.broadcast((weights, vocabulary, hot))
+    size, kind = vocabulary.size, id_type(vocabulary)
+    # Broadcasts hold dicts and arrays only: they are pickled by reference to their classes.
+    numbers, id_of, log_of = vocabulary.index(hot)
+    known_words = spark.sparkContext.broadcast((numbers, id_of, log_of))
     base = float(np.log10(n + v + 1))
     rare_base = np.log10(np.maximum(vocabulary.rare_tokens + vocabulary.rare_types, 0) + 1)
 
     # Per document: sums over hot tokens; its other words go on to the join.
     # A rare word's part is log10(c + 1), less what does not depend on c.
-    shape = "n_tokens long, known long, base double, score double, words array<string>, times array<int>"
+    shape = "n long, known long, base double, part double, words array<string>, times array<int>, ids binary"
 
     @F.pandas_udf(shape)
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        w, voc, hot_n = shared.value
-        numbers, id_of, log_of = voc.index(hot_n)
-        other, end = len(hot_n), log_of[numbers[END]] if END in numbers else 0.0
+    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        numbers, id_of, log_of = known_words.value
+        other, end = len(numbers), log_of[numbers[END]] if END in numbers else 0.0
         number = Numbers(numbers, other).__getitem__
         for series in batches:
-            rows, ids = [], []
+            rows = []
             for t in series:
                 tokens = ascii_words(t)
                 at = np.fromiter(map(number, tokens), np.int64, len(tokens))
                 own, logs = np.append(id_of[at], 0), log_of[at]
                 rest: Counter = Counter()
                 for i in np.flatnonzero(at == other).tolist():
-                    own[i] = voc.size + rare_class(tokens[i])
+                    own[i] = size + rare_class(tokens[i])
                     rest[tokens[i]] += 1
-                ids.append(own)
-                rare = own >= voc.size
-                part = logs[rare[:-1]].sum() - rare_base[own[rare] - voc.size].sum()
-                known = len(tokens) - sum(rest.values()) + (END in numbers)
+                rare = own >= size
+                part = logs[rare[:-1]].sum() - rare_base[own[rare] - size].sum() if size else 0.0
                 rows.append(
                     (
                         len(own),
-                        known,
+                        len(tokens) - sum(rest.values()) + (END in numbers),
                         logs.sum() + end - base * len(own),
                         part,
                         [x.decode() for x in rest],
                         list(rest.values()),
+                        own.astype(kind).tobytes(),
                     )
                 )
-            out = pd.DataFrame(rows, columns=["n_tokens", "known", "base", "score", "words", "times"])
-            if voc.size:
-                out["score"] += score_batch(w, voc, ids, p)
-            yield out
+            yield pd.DataFrame(rows, columns=["n", "known", "base", "part", "words", "times", "ids"])
 
     mine = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     keep = [c for c in docs.columns if c.lower() not in mine and c != text]
     one = docs.select(
         F.struct(*keep).alias("doc"),
         F.monotonically_increasing_id().alias("row"),
-        score(F.col(text)).alias("s"),
+        may_learn.alias("learn"),
+        encode(F.col(text)).alias("s"),
     )
-    one.write.parquet(f"{root}/scored")
-    one = spark.read.schema(one.schema).parquet(f"{root}/scored")
+    one.write.parquet(f"{root}/encoded")
+    one = spark.read.schema(one.schema).parquet(f"{root}/encoded")
+    weights = train(one.filter("learn").select("row", "s.n", "s.ids"), vocabulary, p)
+    model = spark.sparkContext.broadcast((weights, vocabulary.starts))
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        w, starts = model.value
+        for batch in batches:
+            ids = [np.frombuffer(x.as_py(), kind) for x in batch]
+            yield pa.array(score_batch(w, starts, ids, p) if size else np.zeros(len(ids)))
+
     words = one.select("row", F.explode(F.arrays_zip("s.words", "s.times")).alias("w")).select(
         "row", F.col("w.words").alias("token"), F.col("w.times").alias("k")
     )
@@ -614,12 +646,13 @@ def score_documents(
             F.sum(F.col("k") * F.col("l")).alias("l"),
         )
     )
+    scored = one.select("doc", "row", "s.n", F.col("s.known").alias("hot"), "s.base", "s.part", score("s.ids").alias("p"))
     zero = F.lit(0.0)
-    return one.join(extra, "row", "left").select(
+    return scored.join(extra, "row", "left").select(
         "doc.*",
-        F.col("s.n_tokens").alias("n_tokens"),
-        (F.col("s.known") + F.coalesce("known", F.lit(0))).alias("n_known"),
+        F.col("n").alias("n_tokens"),
+        (F.col("hot") + F.coalesce("known", F.lit(0))).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("s.base") + F.coalesce("l", zero)).alias("base_score"),
-        (F.col("s.score") + F.coalesce("l", zero)).alias("score"),
+        (F.col("base") + F.coalesce("l", zero)).alias("base_score"),
+        (F.col("p") + F.col("part") + F.coalesce("l", zero)).alias("score"),
     )

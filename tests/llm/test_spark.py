@@ -76,7 +76,7 @@ def test_token_counts(docs, none):
 
 
 def test_lm_scores(docs, none):
-    p = lm_scoring.LmParams(vocab=8, classes=3, hot=9, hidden=4, train_every=2, workers=2)
+    p = lm_scoring.LmParams(vocab=8, classes=3, hot=9, hidden=4, least_tokens=50)
     got = lm_scoring.score_documents(docs.select("doc_id", "text", "score"), "text", F.coalesce(F.col("doc_id") % 4 != 2, F.lit(True)), p)
     rows = got.collect()
     assert got.columns == ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
@@ -95,17 +95,55 @@ def test_lm_scores(docs, none):
     assert {(r["n_known"], r["train_tokens"], r["base_score"]) for r in nothing} == {(0, 0, 0.0)}
 
 
-def test_every_training_document_reaches_the_weights(spark, tmp_path):
-    texts = [f"w{i} w{i}" for i in range(60)]
-    learn = spark.createDataFrame([(t,) for t in texts], "t string").repartition(3)
+def _weights(spark, path, docs, vocabulary, p):
+    rows = [(i, len(d), d.astype(lm_scoring.id_type(vocabulary)).tobytes()) for i, d in enumerate(docs)]
+    spark.createDataFrame(rows, "row long, n long, ids binary").repartition(3).write.parquet(f"{path}")
+    return lm_scoring.train(spark.read.parquet(f"{path}"), vocabulary, p)
+
+
+@pytest.mark.parametrize("groups", [64, 2])  # weights averaged in one step, and in two
+def test_every_training_document_reaches_the_weights(spark, tmp_path, monkeypatch, groups):
+    monkeypatch.setattr(lm_scoring, "GROUPS", groups)
     hot = {lm_scoring.END: 60, **{b"w%d" % i: 2 for i in range(60)}}
-    p = lm_scoring.LmParams(task_tokens=30)  # more tasks than ``workers``
+    p = lm_scoring.LmParams(task_tokens=30, first=3)  # several tasks in each round
     v = lm_scoring.build_vocabulary(hot, [], p)
-    weights, before = lm_scoring.train(learn, "t", v, p, str(tmp_path)), lm_scoring.new_weights(v, p)
+    docs = [np.array([v.ids[b"w%d" % i]] * 2 + [0]) for i in range(60)]
+    weights, before = _weights(spark, f"{tmp_path}/e", docs, v, p), lm_scoring.new_weights(v, p)
     assert (weights["x"][: v.size] != before["x"][: v.size]).any(axis=1).all()
     assert (weights["x"][v.size :] == before["x"][v.size :]).all()
 
 
+def test_weights_are_the_mean_over_tasks(spark, tmp_path):
+    r = np.random.default_rng(1)
+    hot = {lm_scoring.END: 9, **{b"w%d" % i: 2 + i for i in range(30)}}
+    p = lm_scoring.LmParams(task_tokens=10**6, least_tokens=10**6, first=1)  # one round of one task
+    v = lm_scoring.build_vocabulary(hot, [], p)
+    doc = np.append(r.integers(1, v.size, 400), 0)
+    docs = [doc] * 6  # the same in any order
+    own = lm_scoring.new_weights(v, p)
+    lm_scoring.fit(own, v.starts, docs, p)
+    got = _weights(spark, f"{tmp_path}/e", docs, v, p)
+    assert all(np.allclose(got[k], own[k], atol=1e-6) for k in own)
+    table = pa.table({"at": [0, 0], "n": [1, 3], "piece": [np.array([1.0, 5.0]).tobytes(), np.array([5.0, 1.0]).tobytes()]})
+    mean = lm_scoring._mean(table, ["at"])
+    assert np.frombuffer(mean["piece"][0].as_py(), np.float64).tolist() == [4.0, 2.0] and mean["n"][0].as_py() == 4
+
+
+def test_model_beats_the_unigram_base_on_held_out_documents(spark):
+    """Texts with an order that only a model with a state can know; the base is proper and sees the counts."""
+    r = random.Random(6)
+    cycle = [f"w{i}" for i in range(40)]
+    texts = []
+    for _ in range(600):
+        at = r.randrange(40)
+        texts.append(" ".join(cycle[(at + k) % 40] for k in range(r.randrange(20, 60))))
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    p = lm_scoring.LmParams(classes=8, least_tokens=10**6)
+    rows = lm_scoring.score_documents(docs, "text", F.col("doc_id") % 7 != 2, p).filter("doc_id % 7 = 2").collect()
+    base, score = sum(x.base_score for x in rows), sum(x.score for x in rows)
+    assert score > 0.7 * base  # both negative: at least 30 % fewer digits
+
+
 def test_packing(docs, none):
     rows = packing.pack(docs, capacity=64, per_source=1, shard=16).collect()
     want = Counter()
