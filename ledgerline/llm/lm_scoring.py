@@ -40,7 +40,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -60,7 +59,7 @@ LOG10 = float(np.log(10.0))
 @dataclass(frozen=True)
 class LmParams:
     vocab: int = 4096
-    classes: int = 64
+    classes: int = 32
     hidden: int = 16
     window: int = 24
     streams: int = 384
@@ -69,7 +68,7 @@ class LmParams:
     task_tokens: int = 2_000_000
     least_tokens: int = 100_000  # of a task, where there are few
     rate: float = 0.08
-    hot: int = 131_072
+    hot: int = 262_144
     batch: int = 2048
     flush: int = 400_000
     seed: int = 7
@@ -146,26 +145,22 @@ class Numbers(dict):
         return self.other
 
 
+def _endings() -> list[int]:
+    """A kind for each last byte of a word."""
+    kinds = [7] * 256
+    groups = (range(97, 123), range(128, 256), b".", b",", range(48, 58), b"!?;:", b"%$&*#|")
+    for kind, group in enumerate(groups):
+        for last in group:
+            kinds[last] = kind
+    return kinds
+
+
+ENDINGS = _endings()
+
+
 def rare_class(word: bytes) -> int:
     """0..RARE-1 by surface: what the word ends in, and whether it is all ASCII."""
-    last = word[-1]
-    if 97 <= last <= 122:
-        kind = 0
-    elif last >= 128:
-        kind = 1
-    elif last == 46:
-        kind = 2
-    elif last == 44:
-        kind = 3
-    elif 48 <= last <= 57:
-        kind = 4
-    elif last in b"!?;:":
-        kind = 5
-    elif last in b"%$&*#|":
-        kind = 6
-    else:
-        kind = 7
-    return kind * 2 + (not word.isascii())
+    return ENDINGS[word[-1]] * 2 + (not word.isascii())
 
 
 @dataclass
@@ -584,35 +579,46 @@ def score_documents(
     # A rare word's part is log10(c + 1), less what does not depend on c.
     shape = "n long, known long, base double, part double, words array<string>, times array<int>, ids binary"
 
-    @F.pandas_udf(shape)
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(shape)
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         numbers, id_of, log_of = known_words.value
         other, end = len(numbers), log_of[numbers[END]] if END in numbers else 0.0
         number = Numbers(numbers, other).__getitem__
-        for series in batches:
-            rows = []
-            for t in series:
-                tokens = ascii_words(t)
+        for batch in batches:
+            rows, ids = [], []
+            words: list[bytes] = []
+            times: list[int] = []
+            ends = [0]
+            for t in batch:
+                tokens = ascii_words(t.as_py())
                 at = np.fromiter(map(number, tokens), np.int64, len(tokens))
                 own, logs = np.append(id_of[at], 0), log_of[at]
-                rest: Counter = Counter()
-                for i in np.flatnonzero(at == other).tolist():
-                    own[i] = size + rare_class(tokens[i])
-                    rest[tokens[i]] += 1
+                missed = np.flatnonzero(at == other).tolist()
+                names = [tokens[i] for i in missed]
+                own[missed] = [size + rare_class(w) for w in names]
+                rest = Counter(names)
+                words += rest
+                times += rest.values()
+                ends.append(len(words))
                 rare = own >= size
                 part = logs[rare[:-1]].sum() - rare_base[own[rare] - size].sum() if size else 0.0
-                rows.append(
-                    (
-                        len(own),
-                        len(tokens) - sum(rest.values()) + (END in numbers),
-                        logs.sum() + end - base * len(own),
-                        part,
-                        [x.decode() for x in rest],
-                        list(rest.values()),
-                        own.astype(kind).tobytes(),
-                    )
-                )
-            yield pd.DataFrame(rows, columns=["n", "known", "base", "part", "words", "times", "ids"])
+                known = len(tokens) - len(names) + (END in numbers)
+                rows.append((len(own), known, logs.sum() + end - base * len(own), part))
+                ids.append(own.astype(kind).tobytes())
+            n, known, total, part = zip(*rows) if rows else ((),) * 4
+            offsets = pa.array(ends, pa.int32())
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array(n, pa.int64()),
+                    pa.array(known, pa.int64()),
+                    pa.array(total, pa.float64()),
+                    pa.array(part, pa.float64()),
+                    pa.ListArray.from_arrays(offsets, pa.array(words, pa.binary()).cast(pa.string())),
+                    pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
+                    pa.array(ids, pa.binary()),
+                ],
+                names=["n", "known", "base", "part", "words", "times", "ids"],
+            )
 
     mine = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     keep = [c for c in docs.columns if c.lower() not in mine and c != text]
