@@ -100,6 +100,35 @@ def sales_growth_mtd(fact: DataFrame) -> DataFrame:
     )
 
 
+def growth_by_day(fact: DataFrame, calendar: DataFrame) -> DataFrame:
+    """Sales Growth % on a day axis: (date, revenue, mtd, last_mtd, growth).
+
+    ``calendar``: every day as ``date``; a day without sales has revenue 0. ``mtd`` runs
+    from the first of the month up to the day, ``last_mtd`` is the same up to the
+    day one month before (0 where the calendar has none). The running sum is
+    a range window over the days of one month.
+    """
+    daily = fact.groupBy(calendar_date("timestamp").alias("date")).agg(F.sum("revenue").alias("revenue"))
+    zero = F.lit(0).cast("decimal(33,2)")
+    days = calendar.select("date").join(daily, "date", "left").select("date", F.coalesce("revenue", zero).alias("revenue"))
+    so_far = (
+        Window.partitionBy(F.trunc("date", "MM"))
+        .orderBy("date")
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    running = days.withColumn("mtd", F.sum("revenue").over(so_far))
+    before = running.select(F.col("date").alias("prev_date"), F.col("mtd").alias("prev_mtd"))
+    joined = running.join(before, F.add_months("date", -1) == F.col("prev_date"), "left")
+    last = F.coalesce("prev_mtd", F.lit(0).cast("decimal(38,2)"))
+    return joined.withColumn("last", last).select(
+        "date",
+        money_out("revenue").alias("revenue"),
+        money_out("mtd").alias("mtd"),
+        money_out("last").alias("last_mtd"),
+        safe_growth("mtd", "last").alias("growth"),
+    )
+
+
 def monthly_totals(fact: DataFrame) -> DataFrame:
     """(month_start DATE, revenue DECIMAL) for rows with a timestamp."""
     return (

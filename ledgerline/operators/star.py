@@ -48,6 +48,15 @@ def relationship_report(fact: DataFrame, customers: DataFrame, products: DataFra
     }
 
 
+def relationship_counts(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """(check, n) of both relationships in one job: how many keys each check of the report finds."""
+    found = None
+    for name, rows in relationship_report(fact, customers, products).items():
+        n = rows.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n")
+        found = n if found is None else found.unionAll(n)
+    return found
+
+
 # The columns of the fact sample shown to model users.
 SAMPLE_COLUMNS = ("transaction_id", "customer_id", "product_id", "revenue", "city", "segment", "category")
 
@@ -55,11 +64,11 @@ SAMPLE_COLUMNS = ("transaction_id", "customer_id", "product_id", "revenue", "cit
 def fact_sample(enriched: DataFrame, n: int = 5) -> DataFrame:
     """A few enriched fact rows for inspection (the limit is the feature).
 
-    Ordered by transaction and product so the sample is reproducible; the
+    Ordered by transaction, product, customer and then all other columns,
+    nulls last, so rows that tie are equal and the sample is reproducible; the
     sort + limit plans as a per-task top-n, not a global sort.
     """
+    order = ("transaction_id", "product_id", "customer_id", "revenue", "city", "segment", "category")
     return (
-        enriched.select(*SAMPLE_COLUMNS)
-        .orderBy("transaction_id", "product_id", "customer_id", "revenue")
-        .limit(n)
+        enriched.select(*SAMPLE_COLUMNS).orderBy(*[F.col(c).asc_nulls_last() for c in order]).limit(n)
     )

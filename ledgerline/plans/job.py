@@ -18,7 +18,8 @@ import json
 from decimal import Decimal
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.operators import quality, star
 from ledgerline.params import RetailParams
@@ -42,6 +43,12 @@ class JobReport:
     low_sales_days: int = 0
 
 
+def _as_dict(counts: DataFrame) -> dict[str, int]:
+    """(name, n) rows, a handful of them, as a dict."""
+    pairs = F.collect_list(F.struct(*counts.columns))
+    return dict(counts.agg(F.map_from_entries(pairs)).first()[0])
+
+
 def run_batch_job(
     spark: SparkSession,
     sales_path: str,
@@ -67,12 +74,12 @@ def run_batch_job(
         },
         out_root,
     )
-    # Silver is written and rejects are counted by reason in the same job (the
-    # typed read; bronze above is a read of its own).
-    n_sales, report.rejected = lakehouse.write_silver_sales_counting_rejects(
-        sales_raw, out_root, params
-    )
-    report.silver = {"sales": n_sales, **lakehouse.write_silver_dims(customers, products, out_root)}
+    # Rejects are a table of their own; both counts are those of committed files.
+    lakehouse.write_silver_sales(quality.clean_sales(sales_raw, params), out_root)
+    lakehouse.write_rejects(sales_raw, out_root, params)
+    audit = _as_dict(lakehouse.sales_audit(spark, out_root))
+    report.rejected = {k.split(":")[1]: n for k, n in audit.items() if k.startswith("rejected:")}
+    report.silver = {"sales": audit["silver"], **lakehouse.write_silver_dims(customers, products, out_root)}
 
     # Downstream layers read the written silver tables, not the CSV plans.
     silver_sales = lakehouse.read_silver_sales(spark, out_root)
@@ -80,13 +87,10 @@ def run_batch_job(
     silver_products = spark.read.parquet(f"{out_root}/silver/products")
     report.gold = lakehouse.write_gold(silver_sales, silver_customers, silver_products, out_root)
 
-    checks = star.relationship_report(silver_sales, silver_customers, silver_products)
-    report.orphans = {
-        k: checks[k].count() for k in ("orphan_customers", "orphan_products")
-    }
-    report.duplicate_keys = {
-        k: checks[k].count() for k in ("duplicate_customers", "duplicate_products")
-    }
+    checks = star.relationship_counts(silver_sales, silver_customers, silver_products)
+    found = _as_dict(checks)
+    report.orphans = {k: found[k] for k in ("orphan_customers", "orphan_products")}
+    report.duplicate_keys = {k: found[k] for k in ("duplicate_customers", "duplicate_products")}
     report.low_sales_days = lakehouse.write_low_sales_alerts(
         spark.read.parquet(f"{out_root}/gold/enriched_sales"), params, out_root
     )

@@ -76,6 +76,27 @@ def write_silver_sales_counting_rejects(
     return written, rejects
 
 
+def write_rejects(raw: DataFrame, root: str, params: RetailParams = RetailParams()) -> None:
+    """Every rejected row with its reason, as a table ``root/silver/rejects``."""
+    quality.rejected_records(raw, params).write.mode("overwrite").parquet(f"{root}/silver/rejects")
+
+
+def sales_audit(spark: SparkSession, root: str) -> DataFrame:
+    """(layer, n): rows of bronze (where landed) and silver sales, and of rejects by reason.
+
+    Counted from committed files, so a task or stage that was retried while
+    they were written counts once.
+    """
+    silver = read_silver_sales(spark, root).agg(F.count("*").alias("n")).select(F.lit("silver").alias("layer"), "n")
+    rejects = (
+        spark.read.schema("reason string").parquet(f"{root}/silver/rejects")
+        .groupBy("reason")
+        .agg(F.count("*").alias("n"))
+        .select(F.concat(F.lit("rejected:"), "reason").alias("layer"), "n")
+    )
+    return silver.unionAll(rejects)
+
+
 def write_silver_dims(customers: DataFrame, products: DataFrame, root: str) -> dict[str, int]:
     """Silver dimensions: key present (K3); duplicates are kept and reported."""
     return {

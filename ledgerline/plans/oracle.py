@@ -10,7 +10,7 @@ both sides, so the compared values are bit-identical.
 
 from __future__ import annotations
 
-from ledgerline.plans.catalog import QUERY_PARAMS, REJECT_PARAMS, SILVER_STORE
+from ledgerline.plans.catalog import QUERY_PARAMS, REJECT_PARAMS, SILVER_STORE, STORE_ALERT
 
 HV = str(QUERY_PARAMS.high_value_threshold)
 ALERT = str(QUERY_PARAMS.sales_alert_threshold)
@@ -331,7 +331,154 @@ ORACLE: dict[str, str] = {
                     AS DATE) AS date FROM sales"""),
     "fact_sample": _q("""
         SELECT transaction_id, customer_id, product_id, CAST(revenue AS DOUBLE) AS revenue, city, segment, category
-        FROM enriched ORDER BY transaction_id, product_id, customer_id, revenue LIMIT 5"""),
+        FROM enriched
+        ORDER BY transaction_id NULLS LAST, product_id NULLS LAST, customer_id NULLS LAST, revenue NULLS LAST,
+                 city NULLS LAST, segment NULLS LAST, category NULLS LAST
+        LIMIT 5"""),
+}
+
+# Sales as read from files with damaged lines (see ``damaged_lines``).
+DAMAGED = """
+damaged AS (
+    SELECT transaction_id, product_id, TRY_CAST(transaction_id AS BIGINT) % 20 AS m, ts, price, quantity, customer_id
+    FROM raw_sales
+),
+read_back AS (
+    SELECT m, transaction_id, product_id,
+           CASE WHEN m = 4 THEN NULL ELSE customer_id END AS customer_id,
+           CASE WHEN m IN (1, 3) THEN NULL WHEN m = 6 THEN 0 ELSE quantity END AS quantity,
+           CASE WHEN m IN (1, 5) THEN NULL ELSE price END AS price,
+           CASE WHEN m IN (1, 7) THEN NULL ELSE ts END AS ts
+    FROM damaged
+),
+judged AS (
+    SELECT *, CASE
+        WHEN transaction_id IS NOT NULL AND customer_id IS NOT NULL AND product_id IS NOT NULL
+             AND price > 0 AND quantity > 0 THEN 'accepted'
+        WHEN m IN (1, 2, 3) THEN 'malformed'
+        WHEN transaction_id IS NULL OR customer_id IS NULL OR product_id IS NULL THEN 'null_key'
+        WHEN price IS NULL OR quantity IS NULL THEN 'null_number'
+        ELSE 'non_positive' END AS reason
+    FROM read_back
+)
+"""
+TREND = "strftime(ts, '%Y-%m') AS month, " + money("SUM(price * quantity)") + " AS monthly_revenue, COUNT(*) AS num_transactions"
+CALENDAR = """
+calendar AS (
+    SELECT CAST(unnest(generate_series(CAST(MIN(ts) AS DATE), CAST(MAX(ts) AS DATE), INTERVAL 1 DAY)) AS DATE) AS date
+    FROM sales
+)
+"""
+# The middle of the span of all events; the watermark of what arrived before it.
+HALVES = """
+middle AS (SELECT (epoch_us(min(ts)) + epoch_us(max(ts))) // 2 AS us FROM events),
+early AS (SELECT *, COALESCE(epoch_us(ts) < (SELECT us FROM middle), TRUE) AS is_early FROM evc)
+"""
+
+
+def _windows(rows: str) -> str:
+    return f"""
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+           time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, product_id,
+           CAST(SUM(quantity) AS BIGINT) AS total_qty,
+           CAST(ROUND(SUM(revenue), 2) AS DOUBLE) AS window_revenue
+    FROM ({rows}) WHERE ts IS NOT NULL GROUP BY 1, 2, 3"""
+
+
+def _spikes(windows: str) -> str:
+    return f"""
+    SELECT * FROM {windows} WHERE total_qty * (SELECT COUNT(*) FROM {windows})
+        > {FACTOR} * (SELECT COALESCE(SUM(total_qty), 0) FROM {windows})"""
+
+
+LATE = HALVES.rstrip() + f""",
+punctual AS (
+    SELECT *, NOT (is_early AND COALESCE(CAST(transaction_id AS BIGINT), 0) % 10 = 3) AS on_time FROM early
+),
+watermark AS (SELECT max(ts) - INTERVAL 5 MINUTE AS late FROM punctual WHERE is_early AND on_time),
+counted AS (
+    SELECT * FROM punctual
+    WHERE (is_early AND on_time) OR (SELECT late FROM watermark) IS NULL
+       OR time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR > (SELECT late FROM watermark)
+),
+stored AS (
+    SELECT * FROM ({_windows("SELECT * FROM counted")})
+    WHERE window_end <= (SELECT max(ts) FROM evc) - INTERVAL 5 MINUTE
+)
+"""
+
+ORACLE |= {
+    "bronze_customers": _q("""
+        SELECT CAST(c.c_custkey AS VARCHAR) AS customer_id, c.c_name AS name, n.n_name AS city,
+               c.c_mktsegment AS segment
+        FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""),
+    "bronze_products": _q("""
+        SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category, p_brand AS brand FROM part"""),
+    "csv_corrupt_rejects": _q("SELECT reason, COUNT(*) AS n FROM judged GROUP BY reason", DAMAGED),
+    "csv_corrupt_trend": _q(
+        f"""
+        SELECT 'gold' AS trend, {TREND} FROM judged WHERE reason = 'accepted' GROUP BY 2
+        UNION ALL
+        SELECT 'sql', {TREND} FROM judged WHERE reason = 'accepted' AND ts IS NOT NULL GROUP BY 2""",
+        DAMAGED,
+    ),
+    "layer_audit": _q(
+        """
+        SELECT 'silver' AS layer, COUNT(*) AS n FROM judged WHERE reason = 'accepted'
+        UNION ALL
+        SELECT 'rejected:' || reason, COUNT(*) FROM judged WHERE reason <> 'accepted' GROUP BY reason""",
+        DAMAGED,
+    ),
+    "low_sales_alerts": ORACLE["low_sales_days"],
+    "store_low_sales_days": _q(
+        f"""
+        SELECT c.date, {money('COALESCE(d.revenue, 0)')} AS daily_revenue
+        FROM calendar c LEFT JOIN (
+            SELECT CAST(ts AS DATE) AS date, SUM(revenue) AS revenue FROM sales
+            WHERE store_id = '{SILVER_STORE}' GROUP BY 1) d ON c.date = d.date
+        WHERE COALESCE(d.revenue, 0) < {STORE_ALERT}""",
+        CALENDAR,
+    ),
+    "sales_growth_by_day": _q(
+        f"""
+        SELECT r.date, {money('r.revenue')} AS revenue, {money('r.mtd')} AS mtd,
+               {money('COALESCE(p.mtd, 0)')} AS last_mtd, {growth('r.mtd', 'COALESCE(p.mtd, 0)')} AS growth
+        FROM running r LEFT JOIN running p ON p.date = CAST(r.date - INTERVAL 1 MONTH AS DATE)""",
+        CALENDAR.rstrip() + """,
+by_day AS (
+    SELECT c.date, CAST(COALESCE(d.revenue, 0) AS DECIMAL(38, 2)) AS revenue
+    FROM calendar c LEFT JOIN (SELECT CAST(ts AS DATE) AS date, SUM(revenue) AS revenue FROM sales GROUP BY 1) d
+      ON c.date = d.date
+),
+running AS (
+    SELECT date, revenue, SUM(revenue) OVER (PARTITION BY date_trunc('month', date) ORDER BY date) AS mtd
+    FROM by_day
+)
+""",
+    ),
+    "stream_resumed_demand": _q("SELECT * FROM emitted"),
+    "stream_late_demand": _q("SELECT * FROM stored", LATE),
+    "stream_late_report": _q(
+        """
+        SELECT w.window_start, w.window_end, w.product_id, w.total_qty,
+               COALESCE(s.total_qty, 0) AS stored_qty, w.total_qty - COALESCE(s.total_qty, 0) AS late_qty
+        FROM win w LEFT JOIN stored s USING (window_start, window_end, product_id)
+        WHERE w.window_end <= (SELECT max(window_end) FROM stored) AND w.total_qty <> COALESCE(s.total_qty, 0)""",
+        LATE,
+    ),
+    "stream_spikes_by_drain": _q(
+        f"""
+        SELECT 1 AS drain, * FROM ({_spikes('first_drain')})
+        UNION ALL SELECT 2, * FROM ({_spikes('emitted')})""",
+        HALVES.rstrip() + f""",
+first_drain AS (
+    SELECT * FROM ({_windows("SELECT * FROM early WHERE is_early")})
+    WHERE window_end <= (SELECT max(ts) FROM early WHERE is_early) - INTERVAL 5 MINUTE
+)
+""",
+    ),
+    "stream_rate_limited": _q("SELECT *, TRUE AS several_batches FROM win"),
+    "stream_bounded_wait": _q("SELECT *, TRUE AS stopped_first FROM emitted"),
 }
 ORACLE["csv_clean_sales"] = ORACLE["clean_sales"]
 ORACLE["csv_rejected_rows"] = ORACLE["rejected_rows"]

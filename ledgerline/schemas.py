@@ -99,3 +99,27 @@ def silver_sales_schema(timestamp_type=None) -> StructType:
             StructField("store_id", StringType(), True),
         ]
     )
+
+
+# Columns of the stored layers, so that reading one back plans nothing else.
+LAYER_SCHEMAS = {
+    "silver/customers": "customer_id string, name string, city string, segment string",
+    "silver/products": "product_id string, category string, brand string",
+    "gold/fact_sales": (
+        "transaction_id string, customer_id string, product_id string, store_id string, quantity int, "
+        "price decimal(12,2), revenue decimal(23,2), timestamp timestamp_ntz"
+    ),
+    "gold/enriched_sales": (
+        "transaction_id string, timestamp timestamp_ntz, quantity int, price decimal(12,2), "
+        "revenue decimal(23,2), customer_id string, customer_name string, city string, segment string, "
+        "product_id string, category string, brand string"
+    ),
+    "gold/revenue_by_city": "city string, total_revenue double, total_transactions bigint, avg_order_value double",
+    "gold/revenue_by_category": "category string, brand string, total_revenue double, total_units_sold bigint",
+    "gold/customer_segments": "segment string, total_revenue double, unique_customers bigint, avg_spend double",
+    "gold/monthly_trend": "month string, monthly_revenue double, num_transactions bigint",
+    "events/typed": (
+        "transaction_id string, customer_id string, product_id string, store_id string, quantity int, "
+        "price decimal(12,2), timestamp timestamp"
+    ),
+}

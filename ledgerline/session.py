@@ -14,6 +14,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(
@@ -77,28 +78,46 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     return "/".join([shared_root(spark), "ledgerline", *parts, uuid.uuid4().hex])
 
 
-def _files(spark: SparkSession, path: str):
-    """(path, size, modification time) of the files below a path, through Hadoop's file systems."""
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop path, its file system)."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(where):
-        return
-    found = fs.listFiles(where, True)
-    while found.hasNext():
-        f = found.next()
-        yield f.getPath().toString(), f.getLen(), f.getModificationTime()
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _folders_state(spark: SparkSession, folders: list[str]) -> tuple:
+    """Number, bytes and a hash of the files below some folders, listed and summed up by Spark.
+
+    The listing runs in the JVM, on the executors where folders are many; one
+    row comes back however many files there are. No file is opened.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
+    mark = F.xxhash64("path", "length", "modificationTime")
+    return tuple(files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.bit_xor(mark)).first())
 
 
 def fingerprint(spark: SparkSession, paths: list[str], *more) -> str:
     """Changes whenever a file below ``paths`` (or a value of ``more``) does."""
-    seen = hashlib.sha256(repr(more).encode())
+    seen, folders = hashlib.sha256(repr(more).encode()), []
     for path in paths:
-        for f in sorted(_files(spark, path)):
-            seen.update(repr(f).encode())
+        where, fs = _file_system(spark, path)
+        if not fs.exists(where):
+            continue
+        status = fs.getFileStatus(where)
+        if status.isDirectory():
+            folders.append(path)
+        else:
+            seen.update(repr((path, status.getLen(), status.getModificationTime())).encode())
+    if folders:
+        seen.update(repr((folders, _folders_state(spark, folders))).encode())
     return seen.hexdigest()[:32]
 
 
-def is_complete(spark: SparkSession, path: str) -> bool:
-    """Whether a table below ``path`` was written to its end (Spark's ``_SUCCESS`` file)."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+def completed(spark: SparkSession, root: str, table: str) -> str | None:
+    """The folder of the first complete copy ``root/<build>/table`` (Spark's ``_SUCCESS`` file tells).
+
+    Every build writes to a folder of its own, so builds that run at once don't
+    meet; each complete copy is as good as another.
+    """
+    where, fs = _file_system(spark, f"{root}/*/{table}/_SUCCESS")
+    found = sorted(f.getPath().getParent().toString() for f in fs.globStatus(where) or [])
+    return found[0] if found else None

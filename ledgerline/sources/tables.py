@@ -20,7 +20,7 @@ when orders is small, sort-merge otherwise).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DoubleType,
@@ -175,3 +175,19 @@ def events_stream_from_tables(
         .parquet(sf_dir)
     )
     return _events_as_sales(stream)
+
+
+def events_stream_from_folder(spark: SparkSession, folder: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming read of a folder to which Parquet files of ``events`` rows are added."""
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return _events_as_sales(reader.parquet(folder))
+
+
+def event_halves(events: DataFrame) -> tuple[Column, Column]:
+    """(micros of an event's time, the middle of the span of all events in micros or null)."""
+    micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    lo, hi = events.agg(F.min(micros), F.max(micros)).first()
+    middle = None if lo is None else (lo + hi) // 2
+    return micros, F.lit(middle).cast("long")

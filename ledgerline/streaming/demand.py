@@ -74,3 +74,19 @@ def demand_spikes(windows: DataFrame, factor=RetailParams().spike_factor) -> Dat
     ).scalar()
     cond = F.col("total_qty") * baseline.getField("n") > F.lit(factor) * baseline.getField("s")
     return windows.filter(cond).select(*WINDOW_COLUMNS)
+
+
+def late_demand(complete: DataFrame, stored: DataFrame) -> DataFrame:
+    """What came too late for the stream, by window and product.
+
+    ``complete``: closed windows over all rows (the batch twin); ``stored``: the
+    stream's sink. (window_start, window_end, product_id, total_qty, stored_qty,
+    late_qty), only where a quantity is missing.
+    """
+    keys = ["window_start", "window_end", "product_id"]
+    kept = stored.select(*keys, F.col("total_qty").alias("stored_qty"))
+    both = complete.select(*keys, "total_qty").join(kept, keys, "left")
+    missing = F.col("total_qty") - F.coalesce("stored_qty", F.lit(0))
+    return both.select(
+        *keys, "total_qty", F.coalesce("stored_qty", F.lit(0)).alias("stored_qty"), missing.alias("late_qty")
+    ).filter("late_qty <> 0")

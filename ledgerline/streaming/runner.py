@@ -28,6 +28,7 @@ class StreamResult:
     batches: int | None
     input_rows: int | None
     rows_dropped_by_watermark: int | None
+    finished: bool = True
 
 
 def run_demand_stream(
@@ -38,12 +39,14 @@ def run_demand_stream(
     watermark: str = "5 minutes",
     params: RetailParams = RetailParams(),
     timeout_s: float | None = None,
+    on_timeout: str = "raise",
 ) -> StreamResult:
     """Run windowed demand over ``stream`` into a Parquet sink (append).
 
-    The backlog is drained however long it takes; with ``timeout_s`` a
-    ``TimeoutError`` is raised (after stopping the query) when it is not done by
-    then. A failed query re-raises its exception. Progress is resumable:
+    The backlog is drained however long it takes; with ``timeout_s`` the query is
+    stopped when it is not done by then, and a ``TimeoutError`` is raised or, with
+    ``on_timeout="return"``, what was committed so far is reported with
+    ``finished`` false. A failed query re-raises its exception. Progress is resumable:
     rerunning on the same checkpoint reads only files not seen before.
 
     Counts are gathered while the query runs, by batch. Spark keeps the reports
@@ -67,15 +70,18 @@ def run_demand_stream(
         seen.update((p["batchId"], p) for p in query.recentProgress)
         if not finished and end is not None and time.monotonic() > end:
             query.stop()
-            raise TimeoutError(f"stream did not drain within {timeout_s}s")
-    if query.exception() is not None:
+            if on_timeout == "raise":
+                raise TimeoutError(f"stream did not drain within {timeout_s}s")
+            seen.update((p["batchId"], p) for p in query.recentProgress)
+            break
+    if finished and query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     if seen and max(seen) - min(seen) + 1 != len(seen):
-        return StreamResult(sink_path, checkpoint_path, None, None, None)
+        return StreamResult(sink_path, checkpoint_path, None, None, None, finished)
     rows = sum(int(p.get("numInputRows") or 0) for p in seen.values())
     late = sum(
         int(op.get("numRowsDroppedByWatermark") or 0)
         for p in seen.values()
         for op in p.get("stateOperators") or []
     )
-    return StreamResult(sink_path, checkpoint_path, len(seen), rows, late)
+    return StreamResult(sink_path, checkpoint_path, len(seen), rows, late, finished)

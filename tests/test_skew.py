@@ -65,8 +65,28 @@ def test_hot_customer_is_split_and_totals_stay_whole(smj_only):
     rows = by_city.collect()
     plan = by_city._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan
-    assert "skew=true" in plan  # the hot customer's partition was split
+    # Sales are summed per customer first, so the join sees one row per key and nothing is skewed.
+    assert "skew=true" not in plan
+    per_customer = sales.groupBy("customer_id").count()
+    assert per_customer.agg(F.max("count")).first()[0] == 10000 and per_customer.count() == 998
     # nothing dropped: every sale has a known customer
     assert sum(r["total_transactions"] for r in rows) == 30000
     total = sum((r["total_revenue"] for r in rows), Decimal(0))
     assert total == sales.agg(F.sum("revenue")).first()[0]
+
+
+def test_the_star_join_splits_a_hot_customer(smj_only):
+    """The enriched join keeps every sale, so there adaptive execution splits the hot partition."""
+    spark = smj_only
+    sales, customers = _skewed(spark)
+    products = spark.range(50).select(
+        F.concat(F.lit("P"), F.col("id").cast("string")).alias("product_id"),
+        F.lit("c").alias("category"),
+        F.lit("b").alias("brand"),
+    )
+    enriched = marts.enrich(sales, customers, products)
+    rows = enriched.collect()
+    plan = enriched._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "skew=true" in plan
+    assert len(rows) == 30000
+    assert sum(r["customer_id"] == "C0" for r in rows) == 10000

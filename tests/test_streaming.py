@@ -168,3 +168,49 @@ def test_counts_are_exact_beyond_a_hundred_batches(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert result.input_rows == 104
     assert result.batches >= 104
+
+
+def test_a_replayed_batch_changes_nothing(spark, stream_dirs, tmp_path):
+    from ledgerline.streaming import batch_sink
+
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, product_id string, total_qty bigint, window_revenue double"
+    root = str(tmp_path / "batches")
+    calls = []
+
+    def again(batch, batch_id):
+        calls.append(batch_id)
+        batch_sink.write_batch(batch, batch_id, root)
+
+    windows = windowed_demand(sales_csv_stream(spark, stream_dirs["src"], max_files_per_trigger=1), watermark="5 minutes")
+    n = batch_sink.drain_batches(windows, root, stream_dirs["ckpt"], after=again)
+    assert n == 3 and len(calls) >= 3
+    got = batch_sink.read_batches(spark, root, schema)
+    _run(spark, {**stream_dirs, "ckpt": str(tmp_path / "other")})
+    assert sorted(map(tuple, got.drop("batch_id").collect())) == sorted(map(tuple, _sink(spark, stream_dirs).collect()))
+    assert got.groupBy("window_start", "window_end", "product_id").count().filter("count > 1").count() == 0
+
+
+def test_latest_batch_of_a_complete_sink(spark, stream_dirs, tmp_path):
+    from ledgerline.streaming import batch_sink
+
+    root = str(tmp_path / "batches")
+    windows = windowed_demand(sales_csv_stream(spark, stream_dirs["src"], max_files_per_trigger=1))
+    assert batch_sink.drain_batches(windows, root, stream_dirs["ckpt"], mode="complete") == 3
+    schema = "window_start timestamp_ntz, window_end timestamp_ntz, product_id string, total_qty bigint, window_revenue double"
+    batch = spark.read.option("header", True).schema(sales_csv_stream(spark, stream_dirs["src"]).schema).csv(stream_dirs["src"])
+    want = sorted(map(tuple, windowed_demand(batch).collect()))
+    assert sorted(map(tuple, batch_sink.latest_batch(spark, root, schema).collect())) == want
+
+
+def test_time_limit_reports_and_resumes(spark, stream_dirs):
+    import pytest as pt
+
+    stream = lambda: sales_csv_stream(spark, stream_dirs["src"], max_files_per_trigger=1)
+    with pt.raises(TimeoutError):
+        run_demand_stream(stream(), stream_dirs["sink"], stream_dirs["ckpt"], timeout_s=0.0)
+    part = run_demand_stream(stream(), stream_dirs["sink"], stream_dirs["ckpt"], timeout_s=0.0, on_timeout="return")
+    assert not part.finished
+    rest = run_demand_stream(stream(), stream_dirs["sink"], stream_dirs["ckpt"])
+    assert rest.finished
+    out = _sink(spark, stream_dirs).collect()
+    assert len(out) == 4 and sum(r["total_qty"] for r in out) == 20
