@@ -400,14 +400,14 @@ def train(docs: DataFrame, labels: DataFrame, params: QualityParams = QualityPar
         return None
     x = np.array([r["x"] for r in rows])
     views = make_views(x, p)
-    shared = docs.sparkSession.sparkContext.broadcast(views)
 
+    # The views (bin edges, a few kB) travel with the closure, which is pickled by value.
     @F.pandas_udf("binary")
     def codes(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         for texts, langs, sources, sizes in batches:
             rows = [row_features(*r) for r in zip(texts, langs, sources, sizes)]
             if rows:
-                yield pd.Series([c.tobytes() for c in all_codes(shared.value, np.array(rows))], index=texts.index)
+                yield pd.Series([c.tobytes() for c in all_codes(views, np.array(rows))], index=texts.index)
             else:
                 yield pd.Series([], dtype=object)
 
