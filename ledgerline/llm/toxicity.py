@@ -1,13 +1,17 @@
 """Toxicity by a weighted finite-state pattern grammar.
 
-Words are mapped to symbols (insult, threat, target, negation, reporting verb,
-quotation mark, clause end, other). Small transducers read the symbols: one
-follows negation for a few words, one reported speech to the end of its clause
-or quotation, one whether a clause has a target. They are composed into one
-machine, whose states give every insult or threat its pattern: negated or not,
-reported or not, aimed at a target or not. What is scored is the clause: at
-its end its matches count with their weights under their patterns, and the
-sums per pattern make a document's score by a logistic link.
+Words are mapped to symbols (insult, harm, intent, target, negation, reporting
+verb, quotation mark, clause end, other). Small transducers read the symbols:
+one accepts threats as sequences (an intent, a few words, a target perhaps
+among them, then a verb of harm; a verb of harm alone is the weaker form), one
+insults (said of a target a few words before, or only mentioned), one follows
+negation for a few words, one reported speech to the end of its clause or
+quotation, one whether a clause has a target. They are composed into one
+machine, whose states give every match its pattern: insult or threat, full or
+weak form, negated or not, reported or not, aimed at a target or not. What is
+scored is the clause: at its end its matches count with their weights under
+their patterns; the sums per pattern, and all of them in relation to the
+length, make a document's score by a logistic link.
 
 The insult lexicon is learned from labelled documents: whole words, and stems
 (prefixes) shared by several words, that stand in toxic documents far more
@@ -45,12 +49,19 @@ from ledgerline.llm.common import id_mod
 from ledgerline.llm.sampling import labelled
 from ledgerline.session import shared_dir
 
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, CLAUSE = range(8)
-N_SYMBOLS = 8
+OTHER, INSULT, HARM, TARGET, NEGATION, REPORT, QUOTE, CLAUSE, INTENT = range(9)
+N_SYMBOLS = 9
 NEGATION_REACH = 3
+INTENT_REACH = 4
+DIRECT_REACH = 4
+REACH = max(NEGATION_REACH, INTENT_REACH, DIRECT_REACH)  # other words that any state remembers
 
 # Small word classes in English, German, French and Spanish.
-THREATS = "kill hurt destroy beat burn stab shoot umbringen schlagen vernichten tuer frapper matar golpear"
+HARMS = "kill hurt destroy beat burn stab shoot umbringen schlagen vernichten tuer frapper matar golpear"
+INTENTS = (
+    "will shall going gonna want must should ll werde werden will wirst soll sollte vais va vas veux voy vas "
+    "quiero debe"
+)
 TARGETS = (
     "you your yours he she they him her them his their du dich dir dein ihr euch sie er "
     "tu toi vous ton il elle ils usted ustedes ellos ellas"
@@ -112,9 +123,36 @@ def _target(state: int, symbol: int) -> int:
     return 1 if symbol == TARGET else 0 if symbol == CLAUSE else state
 
 
+def _threat(state: int, symbol: int) -> int:
+    """How many words an intent still reaches: a verb of harm there completes a threat."""
+    if symbol == INTENT:
+        return INTENT_REACH
+    if symbol in (CLAUSE, HARM):
+        return 0
+    return state if symbol == TARGET else max(0, state - 1)
+
+
+def _direct(state: int, symbol: int) -> int:
+    """How many words a target still reaches: an insult there is said of it.
+
+    Who says or writes something is no target of what is said.
+    """
+    if symbol == TARGET:
+        return DIRECT_REACH
+    if symbol in (CLAUSE, REPORT):
+        return 0
+    return state if symbol == INSULT else max(0, state - 1)
+
+
 NEGATED = Transducer(NEGATION_REACH + 1, _negation, lambda s: int(s > 0))
 REPORTED = Transducer(3, _reported, lambda s: int(s > 0))
 AIMED = Transducer(2, _target, lambda s: s)
+THREATENED = Transducer(INTENT_REACH + 1, _threat, lambda s: int(s > 0))
+DIRECT = Transducer(DIRECT_REACH + 1, _direct, lambda s: int(s > 0))
+
+
+def machine() -> tuple[list[list[int]], list[tuple[int, ...]]]:
+    return compose(NEGATED, REPORTED, AIMED, THREATENED, DIRECT)
 
 
 def compose(*parts: Transducer) -> tuple[list[list[int]], list[tuple[int, ...]]]:
@@ -129,24 +167,30 @@ def compose(*parts: Transducer) -> tuple[list[list[int]], list[tuple[int, ...]]]
     return following, [tuple(p.flag(s) for p, s in zip(parts, t)) for t in tuples]
 
 
-# Patterns: (insult or threat) x negated x reported x aimed.
-N_PATTERNS = 16
+# Patterns: (insult or threat) x full form x negated x reported x aimed.
+N_PATTERNS = 32
+LENGTH, DENSITY, ONE = N_PATTERNS, N_PATTERNS + 1, N_PATTERNS + 2
+N_FEATURES = N_PATTERNS + 3
 
 
-def pattern(kind: int, negated: int, reported: int, aimed: int) -> int:
-    return (kind == THREAT) * 8 + negated * 4 + reported * 2 + aimed
+def pattern(kind: int, full: int, negated: int, reported: int, aimed: int) -> int:
+    return (kind == HARM) * 16 + full * 8 + negated * 4 + reported * 2 + aimed
 
 
 def prior_weights() -> np.ndarray:
-    out = np.ones(N_PATTERNS + 2)
-    for kind in (INSULT, THREAT):
-        for i in range(8):
-            negated, reported, aimed = i >> 2 & 1, i >> 1 & 1, i & 1
-            out[pattern(kind, negated, reported, aimed)] = (
-                (0.5 if negated else 1.0) * (0.5 if reported else 1.0) * (1.25 if aimed else 1.0)
+    out = np.ones(N_FEATURES)
+    for kind in (INSULT, HARM):
+        for i in range(16):
+            full, negated, reported, aimed = i >> 3 & 1, i >> 2 & 1, i >> 1 & 1, i & 1
+            out[pattern(kind, full, negated, reported, aimed)] = (
+                (0.5 if negated else 1.0)
+                * (0.5 if reported else 1.0)
+                * (1.25 if aimed else 1.0)
+                * (0.75 if kind == HARM and not full else 1.0)
             )
-    out[N_PATTERNS] = -0.1  # length
-    out[N_PATTERNS + 1] = -2.0  # constant
+    out[LENGTH] = -0.1
+    out[DENSITY] = 0.0
+    out[ONE] = -2.0
     return out
 
 
@@ -170,7 +214,8 @@ class Symbols(dict):
         self.grammar, self.most = grammar, most
         for words, symbol in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)):
             self.update((w, (symbol, 0.0)) for w in words.split())
-        self.update((w, (THREAT, BUILT_IN_WEIGHT)) for w in THREATS.split())
+        self.update((w, (INTENT, 0.0)) for w in INTENTS.split())
+        self.update((w, (HARM, BUILT_IN_WEIGHT)) for w in HARMS.split())
         self.update((c, (CLAUSE, 0.0)) for c in ".!?;:|\n")
         self.update((c, (QUOTE, 0.0)) for c in '"“”„«»')
         self.update((w, (INSULT, x)) for w, x in grammar.words.items())
@@ -187,30 +232,30 @@ class Symbols(dict):
 
 
 def features(text: str | None, symbols: Symbols, machine) -> np.ndarray:
-    """Sums of clause weights by pattern, the log of the number of words, and 1."""
-    out = np.zeros(N_PATTERNS + 2)
-    out[N_PATTERNS + 1] = 1.0
+    """Sums of clause weights by pattern, the log of the length, all weights a hundred words, and 1."""
+    out = np.zeros(N_FEATURES)
+    out[ONE] = 1.0
     tokens = TOKENS.findall((text or "").lower())
-    out[N_PATTERNS] = math.log1p(len(tokens))
+    out[LENGTH] = math.log1p(len(tokens))
     found = [(i, s) for i, s in enumerate(map(symbols.__getitem__, tokens)) if s is not None]
-    if not any(s[0] in (INSULT, THREAT) for _, s in found):
+    if not any(s[0] in (INSULT, HARM) for _, s in found):
         return out
     following, flags = machine
     state, at, pending = 0, -1, []
     found.append((len(tokens), (CLAUSE, 0.0)))
     for i, (symbol, weight) in found:
-        for _ in range(min(i - at - 1, NEGATION_REACH)):
+        for _ in range(min(i - at - 1, REACH)):
             state = following[state][OTHER]
         at = i
-        if symbol in (INSULT, THREAT):
-            negated, reported, _ = flags[state]
-            pending.append((symbol, negated, reported, weight))
+        negated, reported, aimed, threatened, direct = flags[state]
+        if symbol in (INSULT, HARM):
+            pending.append((symbol, threatened if symbol == HARM else direct, negated, reported, weight))
         elif symbol == CLAUSE:
-            aimed = flags[state][2]
-            for kind, negated, reported, w in pending:
-                out[pattern(kind, negated, reported, aimed)] += w / SCALE
+            for kind, full, no, told, w in pending:
+                out[pattern(kind, full, no, told, aimed)] += w / SCALE
             pending = []
         state = following[state][symbol]
+    out[DENSITY] = 100 * out[:N_PATTERNS].sum() / (len(tokens) + 50)
     return out
 
 
@@ -333,7 +378,7 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     grammar = Grammar(words, stems, longest=p.longest, shortest=p.shortest)
     if not words and not stems:
         grammar.words = {w: BUILT_IN_WEIGHT for w in INSULTS.split()}
-    # At most ``sample`` rows of 18 numbers.
+    # At most ``sample`` rows of 35 numbers.
     fit = rows.filter("part = 0").select("toxic", feature_column(F.col("text"), grammar).alias("x")).collect()
     y = np.array([r["toxic"] for r in fit], float)
     if 0 < y.sum() < len(y):
@@ -344,9 +389,9 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
 def feature_column(text: Column, grammar: Grammar) -> Column:
     @F.pandas_udf("array<double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        symbols, machine = Symbols(grammar), compose(NEGATED, REPORTED, AIMED)
+        symbols, composed = Symbols(grammar), machine()
         for texts in batches:
-            yield pd.Series([features(t, symbols, machine) for t in texts])
+            yield pd.Series([features(t, symbols, composed) for t in texts])
 
     return run(text)
 
@@ -356,9 +401,9 @@ def score_column(text: Column, grammar: Grammar) -> Column:
 
     @F.pandas_udf("double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        symbols, machine = Symbols(grammar), compose(NEGATED, REPORTED, AIMED)
+        symbols, composed = Symbols(grammar), machine()
         for texts in batches:
-            x = np.array([features(t, symbols, machine) for t in texts]).reshape(-1, N_PATTERNS + 2)
+            x = np.array([features(t, symbols, composed) for t in texts]).reshape(-1, N_FEATURES)
             yield pd.Series(link(x, grammar.weights))
 
     return run(text)

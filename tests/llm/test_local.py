@@ -146,11 +146,11 @@ def test_tickets_are_a_permutation():
 
 
 def test_transducers_compose():
-    machine = toxicity.compose(toxicity.NEGATED, toxicity.REPORTED, toxicity.AIMED)
+    machine = toxicity.machine()
     g = toxicity.Grammar(words={"fool": 5.0}, stems={"lowe": 4.0})
     symbols = toxicity.Symbols(g)
     at = lambda text: toxicity.features(text, symbols, machine)
-    p = toxicity.pattern
+    p = lambda kind, *more, full=0: toxicity.pattern(kind, full, *more)
     plain = at("A fool here.")
     assert plain[p(toxicity.INSULT, 0, 0, 0)] == 1.0
     assert at("Loweish one")[p(toxicity.INSULT, 0, 0, 0)] == 0.8
@@ -159,7 +159,13 @@ def test_transducers_compose():
     assert at("She wrote a fool came.")[p(toxicity.INSULT, 0, 1, 1)] == 1.0
     assert at('"a fool" came')[p(toxicity.INSULT, 0, 1, 0)] == 1.0
     assert at("fool, you.")[p(toxicity.INSULT, 0, 0, 1)] == 1.0
-    assert at("I kill you")[p(toxicity.THREAT, 0, 0, 1)] > 1.0
+    assert at("I kill you")[p(toxicity.HARM, 0, 0, 1)] > 1.0
+    for threat in ("I will kill you", "will all of them kill you", "ich werde dich umbringen", "je vais te tuer, toi"):
+        assert at(threat)[p(toxicity.HARM, 0, 0, 1, full=1)] > 1.0, threat
+    assert at("will one two three four kill you")[p(toxicity.HARM, 0, 0, 1)] > 1.0  # the intent is too far
+    assert at("will it. kill you")[p(toxicity.HARM, 0, 0, 1, full=1)] == 0.0  # of another clause
+    assert at("you are such a fool")[p(toxicity.INSULT, 0, 0, 1, full=1)] == 1.0
+    assert at("you are not a fool")[p(toxicity.INSULT, 1, 0, 1, full=1)] == 1.0
     score = lambda t: toxicity.link(at(t), g.weights)
     assert score("fool fool fool you") > 0.5 > score("") == score(None)
     assert score("not a fool") < score("a fool")
@@ -221,3 +227,53 @@ def test_archive_records_are_read_by_length():
 def test_fresh_names():
     assert fresh("key", ["a"]) == "key"
     assert fresh("key", ["KEY", "_key"]) == "__key"
+
+
+def _by_hand(text, symbols):
+    """The features of a text by looking back from every match, without any machine."""
+    out = np.zeros(toxicity.N_FEATURES)
+    tokens = toxicity.TOKENS.findall((text or "").lower())
+    kinds = [(symbols[t] or (toxicity.OTHER, 0.0)) for t in tokens]
+    ends = [i for i, (k, _) in enumerate(kinds) if k == toxicity.CLAUSE] + [len(kinds)]
+    out[toxicity.ONE], out[toxicity.LENGTH] = 1.0, np.log1p(len(tokens))
+    begin = 0
+    for end in ends:
+        clause = kinds[begin:end]
+        aimed = any(k == toxicity.TARGET for k, _ in clause)
+        for i, (kind, weight) in enumerate(clause):
+            if kind not in (toxicity.INSULT, toxicity.HARM):
+                continue
+            before = [k for k, _ in clause[:i]]
+            negated = toxicity.NEGATION in before[-toxicity.NEGATION_REACH :]
+            quotes = [k for k, _ in kinds[: begin + i]].count(toxicity.QUOTE)
+            last_quote = max((j for j, k in enumerate(before) if k == toxicity.QUOTE), default=-1)
+            reported = quotes % 2 == 1 or toxicity.REPORT in before[last_quote + 1 :]
+            left, full = 0, False
+            start, reach = (
+                (toxicity.INTENT, toxicity.INTENT_REACH) if kind == toxicity.HARM else (toxicity.TARGET, toxicity.DIRECT_REACH)
+            )
+            free = toxicity.TARGET if kind == toxicity.HARM else toxicity.INSULT
+            for k in before:
+                if k == start:
+                    left = reach
+                elif k == (toxicity.HARM if kind == toxicity.HARM else toxicity.REPORT):
+                    left = 0
+                elif k != free:
+                    left = max(0, left - 1)
+            full = left > 0
+            out[toxicity.pattern(kind, full, negated, reported, aimed)] += weight / toxicity.SCALE
+        begin = end + 1
+    if tokens:
+        out[toxicity.DENSITY] = 100 * out[: toxicity.N_PATTERNS].sum() / (len(tokens) + 50)
+    return out
+
+
+def test_toxicity_patterns_against_looking_back():
+    r = random.Random(4)
+    g = toxicity.Grammar(words={"fool": 5.0}, stems={"lowe": 4.0})
+    words = 'fool loweish kill you they not never said will going one two three . ! " alpha beta'.split()
+    for _ in range(1500):
+        text = " ".join(r.choice(words) for _ in range(r.randrange(0, 40)))
+        symbols = toxicity.Symbols(g)
+        got = toxicity.features(text, symbols, toxicity.machine())
+        assert np.allclose(got, _by_hand(text, symbols)), text
