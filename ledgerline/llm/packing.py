@@ -13,10 +13,12 @@ compatible bin. Only if there is none, a new bin is opened.
 How the work is spread: only (id, piece, words, source, cluster) move, never
 texts. Pieces are dealt by hash to shards of about ``shard`` pieces, so a hot
 source or a large group of copies is spread over all shards, and each shard is
-packed on its own, in bounded memory. Equal rows are first counted and then
-numbered, and the number is part of the hash, so that even one row repeated
-over a third of the table is spread. The number of shards follows the number
-of pieces. Results depend on the data alone, not on how it is partitioned.
+packed on its own, in bounded memory; shards are dealt to tasks by number.
+Equal rows are first counted and then numbered, and the number is part of the
+hash, so that even one row repeated over a third of the table is spread: a row
+with many copies is cut into ranges of ``RANGE`` of them, which are dealt out
+before they are numbered. The number of shards follows the number of pieces.
+Results depend on the data alone, not on how it is partitioned.
 
 Defined cases: a null or empty text has no words and gets no bin (no row); a
 null source is a source of its own, a null id is kept as null; repeated rows
@@ -36,6 +38,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import simhash
 from ledgerline.session import shared_dir
 
+RANGE = 10_000  # copies numbered in one go
 WORD = "[^\\x20\\x09-\\x0D]+"
 OUT = (
     "bin_id string, slot int, has_id boolean, doc_id long, piece int, first_word long, "
@@ -54,6 +57,9 @@ class Bins:
         self.sources: list[list[int]] = []  # by bin: bitmaps of sources held once, twice, ...
         self.clusters: list[int] = []
         self.rooms: list[int] = []
+        # By residual, what every bin there holds (or more bins than are left there): no use to look at them.
+        self.all_clusters = [-1] * (capacity + 1)
+        self.all_sources = [-1] * (capacity + 1)
 
     def _compatible(self, b: int, source: int, cluster: int) -> bool:
         return not (self.sources[b][-1] & source or self.clusters[b] & cluster)
@@ -65,11 +71,13 @@ class Bins:
         while above:
             step = (above & -above).bit_length() - 1  # the next residual that some bin has
             at += step
-            for i, b in enumerate(self.by_residual[at]):
+            none = self.all_clusters[at] & cluster or self.all_sources[at] & source
+            for i, b in enumerate(() if none else self.by_residual[at]):
                 if self._compatible(b, source, cluster):
                     del self.by_residual[at][i]
                     if not self.by_residual[at]:
                         self.open &= ~(1 << at)
+                        self.all_clusters[at] = self.all_sources[at] = -1
                     return self._add(b, size, source, cluster)
             above >>= step + 1
             at += 1
@@ -90,6 +98,8 @@ class Bins:
         if left:
             self.by_residual[left].append(b)
             self.open |= 1 << left
+            self.all_clusters[left] &= self.clusters[b]
+            self.all_sources[left] &= levels[-1]
         return b
 
 
@@ -178,8 +188,22 @@ def pack(
     n_pieces = F.ceil(F.col("n") / F.lit(capacity)).cast("int")
     total = slim.agg(F.sum(n_pieces * F.col("copies"))).first()[0] or 0
     shards = max(1, math.ceil(total / shard))
+    few = F.col("copies") <= RANGE
+    last = F.floor((F.col("copies") - 1) / RANGE).cast("long")
+    ranges = (
+        slim.filter(~few)
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("range"))
+        .repartition("has_id", "doc_id", "source", "n", "cluster", "range")
+        .select(
+            *slim.columns,
+            F.explode(
+                F.sequence(F.col("range") * RANGE + 1, F.least(F.col("copies"), (F.col("range") + 1) * RANGE))
+            ).alias("copy"),
+        )
+    )
+    numbered = slim.filter(few).select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
     pieces = (
-        slim.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
+        numbered.unionAll(ranges)
         .select("*", F.posexplode(F.sequence(F.lit(0), n_pieces - 1)).alias("piece", "at"))
         .select(
             "has_id",
@@ -200,5 +224,6 @@ def pack(
     def run(pieces: pd.DataFrame) -> pd.DataFrame:
         return pack_shard(pieces, capacity, per_source)
 
-    packed = pieces.groupBy("shard").applyInPandas(run, OUT)
+    tasks = min(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    packed = pieces.repartitionById(tasks, "shard").groupBy("shard").applyInPandas(run, OUT)
     return packed.withColumn("doc_id", F.when(F.col("has_id"), F.col("doc_id"))).drop("has_id")

@@ -163,6 +163,27 @@ def test_packing(docs, none):
     assert packing.pack(none).count() == 0
 
 
+def test_one_row_repeated_a_million_times(spark):
+    """Copies are spread over shards and tasks, each into a bin of its own; nothing is lost."""
+    n, other = 1_000_000, 4000
+    text = F.when(F.col("id") < n, F.lit("one two")).otherwise(F.concat_ws(" ", F.lit("a b"), F.col("id").cast("string")))
+    docs = spark.range(n + other).select(
+        F.when(F.col("id") < n, F.lit(7)).otherwise(F.col("id")).alias("doc_id"), text.alias("text"), F.lit("s").alias("source")
+    )
+    packed = packing.pack(docs, capacity=5)
+    plan = packed._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and "Exchange hashpartitioning(shard" not in plan
+    rows = packed.select("bin_id", "doc_id", F.split("bin_id", "-")[0].alias("shard"), F.spark_partition_id().alias("task"))
+    stored = rows.persist()
+    assert stored.count() == n + other
+    copies = stored.filter("doc_id = 7")
+    assert copies.select("bin_id").distinct().count() == n  # no two copies share a bin
+    assert copies.groupBy("shard").count().agg(F.max("count")).first()[0] < 9000
+    tasks = stored.groupBy("task").count().toPandas()["count"]
+    assert len(tasks) == 8 and tasks.max() < 1.2 * tasks.min()
+    stored.unpersist()
+
+
 def test_near_copies_share_no_bin(spark, tmp_path):
     from ledgerline.llm.catalog import op3_best_fit_packing
 
