@@ -91,9 +91,16 @@ def op7_toxicity(spark, sf_dir):
 
 
 def op8_warc(spark, sf_dir):
-    """Every page as read back from the archives."""
-    captures = warc.archive_and_read(table(spark, sf_dir, "pages"), payloads=False)
-    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """Every page as read back from the archives; the payload where its record holds it."""
+    captures = warc.archive_and_read(table(spark, sf_dir, "pages"))
+    return captures.select(
+        "page_id",
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+        F.col("response.payload").alias("payload"),
+    )
 
 
 def op9_quality(spark, sf_dir):
@@ -231,7 +238,8 @@ ORACLE = {
         )
         SELECT p.page_id, CAST(strlen(p.body) AS BIGINT) AS payload_bytes, sha256(p.body) AS payload_digest,
                CASE WHEN f.first < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN f.first < p.page_id THEN f.first END AS refers_to
+               CASE WHEN f.first < p.page_id THEN f.first END AS refers_to,
+               CASE WHEN f.first < p.page_id THEN NULL ELSE p.body END AS payload
         FROM p LEFT JOIN f ON p.body = f.body
     """,
     # A word's crc32 by the table method, over the distinct words only.

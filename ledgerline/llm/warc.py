@@ -13,11 +13,14 @@ the smallest page id is the response, the others are revisits.
 
 How the work is spread: Spark's text writer writes the archives (gzip), with
 the record terminator as line separator, so a task that fails leaves no half file;
-files hold at most ``records_per_file`` records, and a reader holds a file's
-compressed bytes and a batch of records of about 8 MB (or one longer record).
-Payloads are found equal by their digests, of which only those that occur twice are joined back; a payload that a third of all pages share is a
-hot key of a left join, which adaptive execution splits. When digests only are
-asked for, the joins move no payloads.
+files hold at most ``records_per_file`` records and, pages of more than
+``large_bytes`` being written apart, at most about ``file_bytes`` (or one
+capture). A reader holds a file's compressed bytes and a batch of records of
+about 8 MB (or one longer record). Payloads are found equal by their digests.
+Only digests that occur twice are joined back; they are written first, so that
+Spark knows their size and broadcasts them where they are small, else a payload
+that a third of all pages share is a hot key of a left join, which adaptive
+execution splits.
 
 Defined cases: a null html is an empty payload; a null url is written without
 target; control characters in a url are percent-encoded; a null page id is the
@@ -76,27 +79,33 @@ def write_archive(
     least_bytes: int = 100,
     date: str = "2024-01-01T00:00:00Z",
     records_per_file: int = 6000,
+    large_bytes: int = 262_144,
+    file_bytes: int = 1_000_000_000,
 ) -> None:
     """Three records per row of ``pages`` below ``path``."""
-    safe_url = F.col(url)
-    for c in "\r\n\t ":
-        safe_url = F.replace(safe_url, F.lit(c), F.lit(f"%{ord(c):02X}"))
+    spark = pages.sparkSession
+    encoded = F.col(url)
+    for c in [*range(0x21), 0x7F]:
+        encoded = F.replace(encoded, F.lit(chr(c)), F.lit(f"%{c:02X}"))
+    safe_url = F.when(F.col(url).rlike("[\\x00-\\x20\\x7F]"), encoded).otherwise(F.col(url))
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"),
         safe_url.alias("url"),
         F.coalesce(F.col(html), F.lit("")).alias("payload"),
     ).select("*", F.sha2(F.col("payload").cast("binary"), 256).alias("digest"))
     first = F.min(F.struct(F.col("page_id").isNull().alias("no_id"), "page_id", "url"))
-    copied = (
-        rows.filter(F.octet_length("payload") >= least_bytes)
+    size, copies = F.octet_length("payload"), shared_dir(spark, "warc_copies")
+    (
+        rows.filter(size >= least_bytes)
         .select("page_id", "url", "digest")
         .groupBy("digest")
         .agg(first.alias("first"), F.count("*").alias("n"))
         .filter("n > 1")
         .select("digest", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"))
-        .withColumn("copied", F.lit(True))
+        .write.parquet(copies)
     )
-    rows = rows.join(copied, "digest", "left")
+    copied = spark.read.schema("digest string, first_id long, first_url string").parquet(copies)
+    rows = rows.join(copied.withColumn("copied", F.lit(True)), "digest", "left")
     revisit = F.col("copied").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     own = _uuid(F.lit("response"), F.col("page_id"), F.col("url"), F.col("digest"))
     head = F.concat(
@@ -148,13 +157,22 @@ def write_archive(
         ("Content-Type", F.lit("application/warc-fields")),
     )
     records = F.array(request, F.when(revisit, again).otherwise(response), metadata)
-    (
-        rows.select(F.explode(records).alias("value"))
-        .write.option("lineSep", TERMINATOR)
-        .option("maxRecordsPerFile", records_per_file)
-        .option("compression", "gzip")
-        .text(path)
-    )
+
+    def write(part: DataFrame, most_bytes: int) -> None:
+        captures = max(1, min(records_per_file // 3, file_bytes // max(most_bytes, 1)))
+        (
+            part.select(F.explode(records).alias("value"))
+            .write.mode("append")
+            .option("lineSep", TERMINATOR)
+            .option("maxRecordsPerFile", 3 * captures)
+            .option("compression", "gzip")
+            .text(path)
+        )
+
+    largest = pages.agg(F.max(F.octet_length(F.col(html)))).first()[0] or 0
+    write(rows.filter(size <= large_bytes), large_bytes)
+    if largest > large_bytes:
+        write(rows.filter(size > large_bytes), largest)
 
 
 def parse(archive: bytes | BinaryIO) -> Iterator[dict]:
@@ -224,7 +242,7 @@ def assemble(records: DataFrame, payloads: bool = True) -> DataFrame:
     )
     if not payloads:
         measured = measured.drop("payload")
-    measured.write.partitionBy("type").parquet(path)
+    measured.write.partitionBy("type").option("compression", "zstd").parquet(path)
     stored = spark.read.schema(measured.schema).parquet(path)
 
     def beside(kind: str) -> DataFrame:

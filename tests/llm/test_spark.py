@@ -350,6 +350,27 @@ def test_warc(spark):
     assert warc.archive_and_read(pages.limit(0)).count() == 0
 
 
+def test_archives_are_bounded_by_bytes(spark, tmp_path):
+    rows = [(i, f"http://a.b/{i}\x01\x7f", "s" * 50) for i in range(40)]
+    rows += [(100 + i, "u", f"{i}" + "L" * (1000 + 100 * i)) for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    path = f"{tmp_path}/archive"
+    warc.write_archive(pages, path, large_bytes=500, file_bytes=5000)
+    import gzip
+    import pathlib
+
+    sizes = [
+        [len(r["block"]) for r in warc.parse(gzip.decompress(f.read_bytes())) if r["warc-type"] == "response"]
+        for f in pathlib.Path(path).glob("part-*.gz")
+    ]
+    assert sum(map(len, sizes)) == 50
+    assert all(len(s) <= 10 for s in sizes if max(s) < 500)  # 5000 // 500 captures
+    assert all(len(s) <= 2 for s in sizes if max(s) >= 1000)  # 5000 // 1901
+    back = warc.assemble(warc.read_archive(spark, path))
+    assert {r.page_id: r.payload for r in back.select("page_id", "response.payload").collect()} == {r[0]: r[2] for r in rows}
+    assert back.filter("page_id = 0").first().response.uri == "http://a.b/0%01%7F"
+
+
 def _groups(prints):
     left, out = dict.fromkeys(prints), {}
     while left:
