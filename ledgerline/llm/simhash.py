@@ -5,9 +5,11 @@ shingle hashes have it. Two fingerprints within ``distance`` bits are linked;
 a group is a connected component of links.
 
 Multi-index hashing: the fingerprint is cut into segments, here two halves of
-32 bits. Of at most 3 differing bits one half holds at most 1, so each
-fingerprint looks up the 33 values of the small Hamming ball of either half in
-a table of halves, and the complete distance of each match is verified. Random
+32 bits. Of at most 3 differing bits one half holds at most 1, so the small
+Hamming ball of a half, 33 values, finds the other one in a table of halves, and
+the complete distance of each match is verified. Where two halves differ in a
+bit, one of them has a 0 there and finds the other; so each fingerprint looks
+up its own value and those with one more bit set, about half the ball. Random
 texts hardly meet in 32 bits, so the matches stay in proportion to the input.
 
 A table entry (half, value) that holds more than ``BUCKET`` different
@@ -84,6 +86,12 @@ def _ball(value: str, bits: int) -> str:
     return f"concat(array({value}), transform(sequence(0, {bits - 1}), i -> {value} ^ shiftleft(1L, i)))"
 
 
+def _rises(value: str, bits: int) -> str:
+    """SQL array: a value and all values with one more bit set (that half of the ball which lies above it)."""
+    zeros = f"filter(sequence(0, {bits - 1}), i -> {value} & shiftleft(1L, i) = 0)"
+    return f"concat(array({value}), transform({zeros}, i -> {value} | shiftleft(1L, i)))"
+
+
 def _halves() -> str:
     """SQL array of (half, its value, the other half's value)."""
     low, high = "fp & 4294967295L", "shiftrightunsigned(fp, 32)"
@@ -109,27 +117,29 @@ def links(prints: DataFrame, distance: int = 3, bucket: int = BUCKET) -> DataFra
         "h.half", "h.own", "h.other", "fp"
     )
     probes = table.select(
-        "half", F.explode(F.expr(_ball("own", HALF))).alias("own"), "other", F.col("fp").alias("a")
+        "half",
+        F.explode(F.expr(_rises("own", HALF))).alias("own"),
+        "other",
+        F.col("fp").alias("a"),
+        F.col("own").alias("start"),
     )
     sizes = table.groupBy("half", "own").agg(F.count("*").alias("n"))
     large = sizes.filter(F.col("n") > bucket).select("half", "own")
     small = table.join(large, ["half", "own"], "left_anti").select("half", "own", F.col("fp").alias("b"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance
-    first = probes.join(small, ["half", "own"]).filter(F.col("a") < F.col("b")).filter(near).select("a", "b")
+    # Equal halves find each other both ways, others one way.
+    once = (F.col("own") != F.col("start")) | (F.col("a") < F.col("b"))
+    near = once & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
+    pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first = probes.join(small, ["half", "own"]).filter(near).select(*pair)
     # Second level, for the large entries only.
-    quarter = lambda df, who: df.join(large, ["half", "own"], "left_semi").select(
-        "half", "own", F.explode(F.expr(_quarters("other"))).alias("q"), who
-    ).select("half", "own", "q.quarter", "q.part", who)
+    quarter = lambda df, *who: df.join(large, ["half", "own"], "left_semi").select(
+        "half", "own", F.explode(F.expr(_quarters("other"))).alias("q"), *who
+    ).select("half", "own", "q.quarter", "q.part", *who)
     inner = quarter(table.withColumnRenamed("fp", "b"), "b")
-    outer = quarter(probes, "a").select(
-        "half", "own", "quarter", F.explode(F.expr(_ball("part", 16))).alias("part"), "a"
-    )
-    second = (
-        outer.join(inner, ["half", "own", "quarter", "part"])
-        .filter(F.col("a") < F.col("b"))
-        .filter(near)
-        .select("a", "b")
+    outer = quarter(probes, "a", "start").select(
+        "half", "own", "quarter", F.explode(F.expr(_ball("part", 16))).alias("part"), "a", "start"
     )
+    second = outer.join(inner, ["half", "own", "quarter", "part"]).filter(near).select(*pair)
     return first.unionAll(second).distinct()
 
 
