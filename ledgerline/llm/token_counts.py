@@ -42,6 +42,41 @@ RESULT = (
 )
 
 
+class EditedText:
+    """A text under edits: its untouched head, and what lies behind it in pieces.
+
+    Edits from the last to the first copy each character once, however many
+    they are; one that reaches behind an earlier edit joins the pieces first.
+    """
+
+    def __init__(self, text: str):
+        self.head, self.cut = text, len(text)  # ``head`` counts up to ``cut``
+        self.behind: list[str] = []  # pieces from there on, the nearest last
+        self.length = len(text)
+
+    def __len__(self) -> int:
+        return self.length
+
+    def replace(self, start: int, length: int, new: str) -> None:
+        end = start + length
+        if end > self.cut:
+            self.head = self.slice(0, self.length)
+            self.cut, self.behind = self.length, []
+        self.behind += [x for x in (self.head[end : self.cut], new) if x]
+        self.cut = start
+        self.length += len(new) - length
+
+    def slice(self, begin: int, end: int) -> str:
+        parts = [self.head[begin : min(end, self.cut)]]
+        at = self.cut
+        for piece in reversed(self.behind):
+            if at >= end:
+                break
+            parts.append(piece[max(0, begin - at) : end - at])
+            at += len(piece)
+        return "".join(parts)
+
+
 class SegmentTree:
     """Sums of characters and tokens over leaves of pre-tokens."""
 
@@ -82,8 +117,8 @@ class SegmentTree:
             self.tokens[node] += dt
             node //= 2
 
-    def edit(self, text: str, start: int, length: int, new: str, split) -> tuple[str, int]:
-        """Replace ``text[start:start+length]``; (the new text, pre-tokens encoded again)."""
+    def edit(self, text: EditedText, start: int, length: int, new: str, split) -> int:
+        """Replace ``length`` characters from ``start``; the number of pre-tokens encoded again."""
         end = start + length
         first, at = self.find(max(0, start - LOOKAHEAD))
         # Back to a boundary that did not see the edit: within this leaf, or its start.
@@ -93,7 +128,7 @@ class SegmentTree:
             at += chars[keep]
             keep += 1
         head_chars, head_tokens = chars[:keep], tokens[:keep]
-        edited = text[:start] + new + text[end:]
+        text.replace(start, length, new)
         shift = len(new) - length
         # Old boundaries behind the edit, leaf by leaf, until the splits agree.
         leaf, pos, inside = first, at, keep
@@ -103,8 +138,8 @@ class SegmentTree:
         take = 64
         while True:
             # Re-split a stretch of the edited text; its last pre-tokens may be cut short.
-            stretch = edited[p : max(goal + shift, p) + take]
-            cut = p + len(stretch) < len(edited)
+            stretch = text.slice(p, max(goal + shift, p) + take)
+            cut = p + len(stretch) < len(text)
             c, t = split(stretch)
             if cut:
                 short, left = len(stretch), len(c)
@@ -148,7 +183,7 @@ class SegmentTree:
         else:
             self.set(first, head_chars + redone_chars, head_tokens + redone_tokens)
             self.set(leaf, tail_chars, tail_tokens)
-        return edited, len(redone_chars)
+        return len(redone_chars)
 
 
 def edited_counts(text: str | None, edits, split) -> tuple:
@@ -166,10 +201,9 @@ def edited_counts(text: str | None, edits, split) -> tuple:
             continue
         end = start + length
         todo.append((start, length, new or ""))
-    redone = 0
+    redone, edited = 0, EditedText(text)
     for start, length, new in reversed(todo):
-        text, n = tree.edit(text, start, length, new, split)
-        redone += n
+        redone += tree.edit(edited, start, length, new, split)
     return (len(chars), before, len(todo), skipped, redone, tree.tokens[1], tree.chars[1])
 
 

@@ -40,6 +40,41 @@ def test_edits_equal_counting_the_edited_text_anew():
         assert got[5:] == (len(encode(new)), len(new))
 
 
+def test_edited_text_equals_plain_slicing():
+    rnd = random.Random(12)
+    for _ in range(300):
+        plain = "".join(rnd.choice("abc ") for _ in range(rnd.randrange(60)))
+        text = token_counts.EditedText(plain)
+        for _ in range(6):  # in any order, behind earlier edits too
+            at = rnd.randrange(len(plain) + 1)
+            n = min(rnd.randrange(8), len(plain) - at)
+            new = "xyz"[: rnd.randrange(4)]
+            plain = plain[:at] + new + plain[at + n :]
+            text.replace(at, n, new)
+            assert len(text) == len(plain)
+            a, b = rnd.randrange(70), rnd.randrange(70)
+            assert text.slice(a, b) == plain[a:b]
+
+
+def test_many_edits_cost_no_more_each_than_few():
+    """Work is counted as characters copied, not as time."""
+    text = "some words here " * 20_000
+
+    class Counted(str):
+        copied = 0
+
+        def __getitem__(self, key):
+            out = str.__getitem__(self, key)
+            Counted.copied += len(out)
+            return out
+
+    edited = token_counts.EditedText(Counted(text))
+    for at in range(len(text) - 16, 0, -16):
+        edited.replace(at, 4, "x")
+        edited.slice(at - 8, at + 40)
+    assert Counted.copied < 3 * len(text)
+
+
 def test_an_edit_encodes_little_of_a_long_text():
     split = Chunks(VOCAB).leaves
     text = "some words here " * 5000
