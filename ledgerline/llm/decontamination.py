@@ -206,9 +206,14 @@ def contaminated(
         )
         .distinct()
     )
-    items = windows.groupBy("window", "gram").agg(F.collect_set("item_id").alias("items"))
+    # Windows with the same items share a set, and documents carry the number of the set.
+    items = stored(
+        "items", windows.groupBy("window", "gram").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    )
+    sets = stored("sets", items.select("items").distinct().withColumn("set", F.monotonically_increasing_id()))
+    grams = items.join(sets, "items").select("window", "gram", "set")
     spans = stored(
-        "spans", starts.join(items, ["window", "gram"]).select("doc_id", "key", "window", "start", "items")
+        "spans", starts.join(grams, ["window", "gram"]).select("doc_id", "key", "window", "start", "set")
     )
 
     # Words inside spans: what each span adds behind those that began before it.
@@ -224,12 +229,19 @@ def contaminated(
         .groupBy("doc_id", "key")
         .agg(F.sum(F.expr("greatest(end - greatest(start, coalesce(reach, 0)), 0)")).alias("n_hit"))
     )
-    per_item = (
-        spans.select("doc_id", "key", F.explode("items").alias("item_id"))
+    # Items are listed once for each combination of sets that some document holds.
+    held = spans.groupBy("doc_id", "key").agg(F.sort_array(F.collect_set("set")).alias("sets"))
+    listed = (
+        held.select("sets")
         .distinct()
-        .groupBy("doc_id", "key")
+        .select("sets", F.explode("sets").alias("set"))
+        .join(sets, "set")
+        .select("sets", F.explode("items").alias("item_id"))
+        .distinct()
+        .groupBy("sets")
         .agg(F.sort_array(F.collect_list("item_id")).alias("item_ids"))
     )
+    per_item = held.join(listed, "sets").select("doc_id", "key", "item_ids")
     heads = hits.filter("window IS NULL").select("doc_id", "key", "n_words")
     n_hit = F.coalesce("h.n_hit", F.lit(0)).cast("long")
     item_ids = F.coalesce("i.item_ids", F.expr("cast(array() AS array<string>)"))
