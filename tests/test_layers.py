@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -40,14 +41,14 @@ def test_a_half_written_build_is_not_read_and_builds_do_not_meet(spark):
     spark.range(3).write.parquet(f"{path}/a/table")
     os.remove(f"{path.replace('file:', '')}/a/table/_SUCCESS")
     assert completed(spark, path, "table").endswith("/b/table")
-    # A second builder that found nothing yet writes beside the first one.
-    builds = []
-    r.stored("mine", lambda root: (builds.append(root), spark.range(1).write.parquet(f"{root}/mine")))
+    # A second builder that found nothing yet writes beside the first one; the folder outlives sessions.
+    name, builds = f"mine{uuid.uuid4().hex}", []
+    r.stored(name, lambda root: (builds.append(root), spark.range(1).write.parquet(f"{root}/{name}")))
     other = Retail(spark, SMOKE_DIR, r.params)
     other._own = {}
-    other._root = r.root
-    spark.range(1).write.parquet(f"{r.root}/zzz/mine")
-    assert other.stored("mine", lambda root: builds.append(root)) in (f"{builds[0]}/mine", f"file:{builds[0]}/mine")
+    spark.range(1).write.parquet(f"{r.root}/zzz/{name}")
+    found = other.stored(name, lambda root: builds.append(root))
+    assert found.removeprefix("file:") == f"{builds[0]}/{name}".removeprefix("file:")
     assert len(builds) == 1
 
 
