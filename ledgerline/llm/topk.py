@@ -17,7 +17,7 @@ cannot reach the threshold (a row that could tie is kept). Every sixteen terms
 the rows that lead are scored in full, which raises the threshold.
 
 How the work is spread: vectors are dealt by hash of their id to shards of
-about ``shard`` rows, queries to blocks of ``block``; each block is sent to
+about ``shard`` rows, fewer where these are over ``shard_bytes``, queries to blocks of ``block``; each block is sent to
 each shard by an equi-join on the shard's number, both as byte strings of
 bounded size, and each pair gives k rows per query, which are merged by one
 window. No row is broadcast, and every row is searched.
@@ -154,6 +154,7 @@ def top_k(
     k: int = 5,
     shard: int = 16_384,
     block: int = 2_048,
+    shard_bytes: int = 16_000_000,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` best other rows.
 
@@ -170,7 +171,8 @@ def top_k(
     rows.write.parquet(path)
     rows = vectors.sparkSession.read.schema(rows.schema).parquet(path)
     n, queries, dims = rows.agg(F.count("*"), F.count_if("q"), F.max(F.size("v"))).first()
-    shards, blocks = max(1, math.ceil(n / shard)), max(1, math.ceil(queries / block))
+    most = max(1, shard_bytes // (8 * max(dims or 0, 1)))  # rows of a shard or a block
+    shards, blocks = max(1, math.ceil(n / min(shard, most))), max(1, math.ceil(queries / min(block, most)))
     deal = lambda parts, seed: F.pmod(F.xxhash64("vec_id", F.lit(seed)), F.lit(parts)).cast("int")
     index = _blobs(rows.select("vec_id", "v", deal(shards, 1).alias("shard")), "shard", dims or 0)
     asked = _blobs(rows.filter("q").select("vec_id", "v", deal(blocks, 2).alias("block")), "block", dims or 0)
