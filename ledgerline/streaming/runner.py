@@ -47,7 +47,10 @@ def run_demand_stream(
     stopped when it is not done by then, and a ``TimeoutError`` is raised or, with
     ``on_timeout="return"``, what was committed so far is reported with
     ``finished`` false. A failed query re-raises its exception. Progress is resumable:
-    rerunning on the same checkpoint reads only files not seen before.
+    rerunning on the same checkpoint reads only files not seen before. If the stop
+    falls between a batch and the no-data batch behind it, a rerun plans no batch until
+    new files arrive; the windows that the watermark has closed stay in the state, and
+    are written with the next batch.
 
     Counts are gathered while the query runs, by batch. Spark keeps the reports
     of recent batches only: if some were gone before they were read, the counts
@@ -66,7 +69,8 @@ def run_demand_stream(
     end = None if timeout_s is None else time.monotonic() + timeout_s
     finished = False
     while not finished:
-        finished = query.awaitTermination(POLL_S)
+        left = POLL_S if end is None else min(POLL_S, end - time.monotonic())
+        finished = query.awaitTermination(max(left, 0.001))
         seen.update((p["batchId"], p) for p in query.recentProgress)
         if not finished and end is not None and time.monotonic() > end:
             query.stop()

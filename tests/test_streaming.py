@@ -202,6 +202,16 @@ def test_latest_batch_of_a_complete_sink(spark, stream_dirs, tmp_path):
     assert sorted(map(tuple, batch_sink.latest_batch(spark, root, schema).collect())) == want
 
 
+@pytest.mark.parametrize("limit", [0.0, 0.5, 1.0, 1.5])
+def test_stop_at_any_moment_and_more_files(spark, stream_dirs, limit):
+    stream = lambda: sales_csv_stream(spark, stream_dirs["src"], max_files_per_trigger=1)
+    run_demand_stream(stream(), stream_dirs["sink"], stream_dirs["ckpt"], timeout_s=limit, on_timeout="return")
+    _write_batch(stream_dirs["src"], "batch_003.csv", 30, FOUR_ROWS)
+    assert run_demand_stream(stream(), stream_dirs["sink"], stream_dirs["ckpt"]).finished
+    out = _sink(spark, stream_dirs).collect()
+    assert len(out) == 6 and sum(r["total_qty"] for r in out) == 30
+
+
 def test_time_limit_reports_and_resumes(spark, stream_dirs):
     import pytest as pt
 
