@@ -99,3 +99,19 @@ def test_growth_by_day_fills_the_calendar(spark):
     assert (got[dt.date(2024, 2, 29)].mtd, got[dt.date(2024, 2, 29)].last_mtd) == (0.0, 0.0)  # 01-29 is no day here
     assert (got[dt.date(2024, 3, 31)].mtd, got[dt.date(2024, 3, 31)].last_mtd) == (45.0, 0.0)
     assert got[dt.date(2024, 2, 28)].revenue == 0.0
+
+
+def test_damaged_files_are_written_where_the_lines_are(spark, tmp_path):
+    """Every file begins with the header and no line is dealt out or sorted for it: a small input gives one file."""
+    r = Retail(spark, SMOKE_DIR, catalog.QUERY_PARAMS.with_(top_k_products=72))
+    r._root = str(tmp_path)
+    r._own = {}
+    read = r.csv_corrupt_sales()
+    files = [f for f in tmp_path.rglob("part-*") if f.stat().st_size]
+    assert 0 < len(files) < int(spark.conf.get("spark.sql.shuffle.partitions"))
+    head = "transaction_id,customer_id,product_id,store_id,quantity,price,timestamp"
+    texts = [f.read_text().splitlines() for f in files]
+    assert all(t[0] == head for t in texts)
+    lines = [line for t in texts for line in t[1:]]
+    assert sorted(lines) == sorted(x.line for x in damaged_lines(r.raw_sales()).collect())
+    assert read.count() == len(lines)
