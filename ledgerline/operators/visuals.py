@@ -68,26 +68,24 @@ def sales_trend(fact: DataFrame) -> DataFrame:
 def segment_summary(fact: DataFrame, customers: DataFrame) -> DataFrame:
     """(segment, total_sales, average_order_value, customer_count).
 
-    Lines are first summed per (transaction, customer), so the dimension join
-    sees one row per transaction. Customers and transactions are counted from
-    aggregates of their own, joined on the segment (one row each): no row is
-    expanded once per distinct count.
+    Lines are first summed per (transaction, customer), so the fact is shuffled
+    once and the dimension join sees one row per transaction. Grouping sets give
+    one row per transaction and one per customer of a segment, with the other id
+    null, so counting the ids counts each member once.
     """
     per_txn = fact.groupBy("transaction_id", "customer_id").agg(F.sum("revenue").alias("revenue"))
     joined = per_txn.join(customers.select("customer_id", "segment"), "customer_id", "left")
-    money = (
-        joined.groupBy("segment", "customer_id")
-        .agg(F.sum("revenue").alias("revenue"))
-        .groupBy("segment")
-        .agg(F.sum("revenue").alias("total"), F.count("customer_id").alias("customer_count"))
+    keys = [F.col(c) for c in ("segment", "transaction_id", "customer_id")]
+    segment, transaction, customer = keys
+    members = joined.groupingSets([[segment, transaction], [segment, customer]], *keys).agg(
+        F.sum("revenue").alias("revenue"), F.grouping("customer_id").alias("is_transaction")
     )
-    counts = (
-        joined.groupBy("segment", "transaction_id")
-        .agg(F.lit(1).alias("one"))
-        .groupBy(F.col("segment").alias("of"))
-        .agg(F.count("transaction_id").alias("n_txn"))
+    sums = members.groupBy("segment").agg(
+        F.sum(F.when(F.col("is_transaction") == 1, F.col("revenue"))).alias("total"),
+        F.count("transaction_id").alias("n_txn"),
+        F.count("customer_id").alias("customer_count"),
     )
-    return money.join(counts, F.col("segment").eqNullSafe(F.col("of"))).select(
+    return sums.select(
         "segment",
         money_out("total").alias("total_sales"),
         F.coalesce(avg_money("total", "n_txn"), F.lit(0.0)).alias("average_order_value"),

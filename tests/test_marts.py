@@ -155,3 +155,22 @@ def test_fact_sample(retail_csv):
     rows = fact_sample(e).collect()
     assert len(rows) == 5 and tuple(rows[0].asDict()) == SAMPLE_COLUMNS
     assert [r["transaction_id"] for r in rows] == ["T1", "T1", "T3", "T3", "T8"]
+
+
+def test_segment_summary_reads_the_fact_once(spark, tmp_path):
+    """Members of a segment are counted once each, from one pass over the fact."""
+    from decimal import Decimal
+
+    from ledgerline.operators.visuals import segment_summary
+
+    rows = [
+        ("T1", "C1", "10.00"), ("T1", "C1", "5.00"), ("T1", "C2", "1.00"),  # one transaction of two customers
+        ("T2", "C1", "4.00"), ("T3", "C3", "2.00"), ("T4", "C9", "7.00"), ("T5", "C8", "1.00"),
+    ]
+    customers = [("C1", "A"), ("C2", "A"), ("C3", "A"), ("C3", "B"), ("C4", "B"), ("C8", None)]
+    spark.createDataFrame([(t, c, Decimal(r)) for t, c, r in rows], "transaction_id string, customer_id string, revenue decimal(23,2)").write.parquet(f"{tmp_path}/fact")
+    spark.createDataFrame(customers, "customer_id string, segment string").write.parquet(f"{tmp_path}/customers")
+    got = segment_summary(spark.read.parquet(f"{tmp_path}/fact"), spark.read.parquet(f"{tmp_path}/customers"))
+    assert sorted(map(tuple, got.collect()), key=str) == [("A", 22.0, 7.33, 3), ("B", 2.0, 2.0, 1), (None, 8.0, 4.0, 2)]
+    plan = got._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan parquet") == 2
