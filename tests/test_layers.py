@@ -115,3 +115,27 @@ def test_damaged_files_are_written_where_the_lines_are(spark, tmp_path):
     lines = [line for t in texts for line in t[1:]]
     assert sorted(lines) == sorted(x.line for x in damaged_lines(r.raw_sales()).collect())
     assert read.count() == len(lines)
+
+
+def test_layers_are_written_with_shuffles_as_wide_as_the_input_asks(spark, monkeypatch):
+    """Eight times the input gives eight times the partitions; the session's width is never lowered and comes back."""
+    from ledgerline import session
+
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    size = os.path.getsize(f"{SMOKE_DIR}/lineitem.parquet")
+    assert session.stored_bytes(spark, [f"{SMOKE_DIR}/lineitem.parquet", f"{SMOKE_DIR}/none.parquet"]) == size
+    assert session.stored_bytes(spark, [SMOKE_DIR]) > size
+    monkeypatch.setattr(session, "BYTES_PER_PARTITION", 1 << 10)
+    r, seen = Retail(spark, SMOKE_DIR, catalog.QUERY_PARAMS.with_(top_k_products=73)), []
+
+    def write(root):
+        seen.append(int(spark.conf.get(key)))
+        spark.range(1).write.parquet(f"{root}/{name}")
+
+    name = f"wide{uuid.uuid4().hex}"
+    r.stored(name, write)
+    assert seen == [max(int(before), -(-session.stored_bytes(spark, r.source_paths) // 1024))]
+    assert spark.conf.get(key) == before
+    with session.wide_shuffles(spark, 1):
+        assert spark.conf.get(key) == before

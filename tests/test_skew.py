@@ -90,3 +90,29 @@ def test_the_star_join_splits_a_hot_customer(smj_only):
     assert "SortMergeJoin" in plan and "skew=true" in plan
     assert len(rows) == 30000
     assert sum(r["customer_id"] == "C0" for r in rows) == 10000
+
+
+def test_the_star_join_and_the_silver_write_shuffle_no_revenue(smj_only):
+    """Revenue follows from price and quantity, so it is computed where the shuffles have ended."""
+    from ledgerline.plans.lakehouse import rebalance_by_store
+
+    spark = smj_only
+    sales = spark.createDataFrame(
+        [("T1", "C1", "P1", "S1", 3, Decimal("2.50"), Decimal("7.50"), None), ("T2", "C2", None, None, 1, Decimal("1.00"), Decimal("1.00"), None)],
+        "transaction_id string, customer_id string, product_id string, store_id string, quantity int, "
+        "price decimal(12,2), revenue decimal(23,2), timestamp timestamp_ntz",
+    )
+    customers = spark.createDataFrame([("C1", "n", "c", "s"), ("C1", "m", "d", "t")], "customer_id string, name string, city string, segment string")
+    products = spark.createDataFrame([("P1", "k", "b")], "product_id string, category string, brand string")
+    enriched = marts.enrich(sales, customers, products)
+    assert sorted((r.transaction_id, r.revenue, r.customer_name) for r in enriched.collect()) == [
+        ("T1", Decimal("7.50"), "m"), ("T1", Decimal("7.50"), "n")
+    ]
+    assert enriched.schema["revenue"].dataType == sales.schema["revenue"].dataType
+    dealt = rebalance_by_store(sales)
+    assert dealt.columns == sales.columns and sorted(dealt.collect()) == sorted(sales.collect())
+    for df, below in ((enriched, "Join"), (dealt, "RebalancePartitions")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert below in plan and "revenue" in plan
+        assert "revenue" not in plan[plan.index(below):].split("LogicalRDD")[0]
+        assert all("revenue" not in line for line in plan[plan.index(below):].splitlines() if "Project" in line)
