@@ -35,23 +35,23 @@ rows and null ids give one result each.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import ascii_words
 from ledgerline.session import shared_dir
 
 END = b""  # no word is empty
 PIECE = 4096  # weights added up at a time
 GROUPS = 64  # tasks whose weights are added up at once
 ROWS = 4096  # logits computed at a time, so that they stay in the cache
+CHUNK = 16_000_000  # bytes of text split into words at a time
 RARE = 16  # classes of words outside the softmax vocabulary, by surface
 LOG10 = float(np.log(10.0))
 
@@ -77,30 +77,57 @@ class LmParams:
 # ------------------------------------------------------------------ counts
 
 
+def chunks(texts: pa.Array) -> Iterator[pa.Array]:
+    """Consecutive slices of about ``CHUNK`` bytes, or one longer text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(texts):
+        done = ends[lo - 1] if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, done + CHUNK, side="right")))
+        yield texts.slice(lo, hi - lo)
+        lo = hi
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words (as ``ascii_words``) of all texts one behind another, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words, n = lists.flatten(), pc.list_value_length(lists).to_numpy().astype(np.int64)
+    # White space at an end of a text leaves an empty string there.
+    empty = np.flatnonzero(pc.binary_length(words).to_numpy() == 0)
+    if len(empty):
+        n -= np.bincount(np.searchsorted(np.cumsum(n), empty, side="right"), minlength=len(n))
+        words = words.filter(pc.not_equal(words, ""))
+    return words, n
+
+
+def count_chunk(texts: pa.Array) -> pa.Table:
+    """(token, n) of the words of some texts; no word becomes a Python object."""
+    met = split_words(texts)[0].dictionary_encode()
+    n = np.bincount(met.indices.to_numpy(), minlength=len(met.dictionary))
+    return pa.table({"token": met.dictionary, "n": pa.array(n, pa.int64())})
+
+
 def count_words(texts: DataFrame, text: str, flush: int) -> DataFrame:
     """(token, n): how often each token occurs; the end of a text is the token ''."""
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        held: list[pa.Table] = []
+        docs = 0
 
         def out():
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(list(counts), pa.binary()).cast(pa.string()),
-                    pa.array(list(counts.values()), pa.int64()),
-                ],
-                names=["token", "n"],
-            )
+            tokens = pa.concat_tables(held).group_by("token").aggregate([("n", "sum")])
+            yield from tokens.select(["token", "n_sum"]).rename_columns(["token", "n"]).combine_chunks().to_batches()
 
         for batch in batches:
-            for t in batch.column(0):
-                counts.update(ascii_words(t.as_py()))
-                counts[END] += 1
-                if len(counts) > flush:
-                    yield out()
-                    counts.clear()
-        if counts:
-            yield out()
+            docs += batch.num_rows
+            for some in chunks(batch.column(0)):
+                held.append(count_chunk(some))
+                if sum(map(len, held)) > flush:
+                    yield from out()
+                    held.clear()
+        if docs:
+            held.append(pa.table({"token": pa.array([END.decode()], pa.string()), "n": pa.array([docs], pa.int64())}))
+            yield from out()
 
     parts = texts.select(text).mapInArrow(partial, "token string, n long")
     return parts.groupBy("token").agg(F.sum("n").alias("n"))
@@ -134,17 +161,6 @@ def hot_counts(counts: DataFrame, most: int) -> dict[bytes, int]:
 # ------------------------------------------------------------------ vocabulary
 
 
-class Numbers(dict):
-    """A dict whose other keys have the value ``other``."""
-
-    def __init__(self, numbers: dict[bytes, int], other: int):
-        super().__init__(numbers)
-        self.other = other
-
-    def __missing__(self, word: bytes) -> int:
-        return self.other
-
-
 def _endings() -> list[int]:
     """A kind for each last byte of a word."""
     kinds = [7] * 256
@@ -163,6 +179,12 @@ def rare_class(word: bytes) -> int:
     return ENDINGS[word[-1]] * 2 + (not word.isascii())
 
 
+def rare_classes(words: pa.Array) -> np.ndarray:
+    """``rare_class`` of each of many words; none is empty."""
+    last = np.frombuffer(pc.binary_slice(words.cast(pa.binary()), -1).buffers()[2] or b"", np.uint8, len(words))
+    return np.array(ENDINGS)[last] * 2 + pc.invert(pc.string_is_ascii(words)).to_numpy(zero_copy_only=False)
+
+
 @dataclass
 class Vocabulary:
     """What the tasks need of the counts; its size is bounded by the parameters."""
@@ -177,12 +199,11 @@ class Vocabulary:
     def size(self) -> int:
         return len(self.unigram)
 
-    def index(self, hot: dict[bytes, int]) -> tuple[dict[bytes, int], np.ndarray, np.ndarray]:
-        """Numbers of the hot words, and by number the id and log10(c + 1); the last entry is for others."""
-        numbers = {w: i for i, w in enumerate(hot)}
+    def index(self, hot: dict[bytes, int]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The hot words, and by their places the id and log10(c + 1); the last entry is for others."""
         ids = [self.ids[w] if w in self.ids else self.size + rare_class(w) for w in hot]
         logs = np.log10(np.array([*hot.values(), 0], dtype=np.float64) + 1)
-        return numbers, np.array([*ids, -1], np.int64), logs
+        return pa.array(list(hot), pa.binary()).cast(pa.string()), np.array([*ids, -1], np.int32), logs
 
     @property
     def classes(self) -> int:
@@ -213,11 +234,10 @@ def rare_totals(counts: DataFrame) -> list[tuple[int, int, int]]:
     def partial(batches):
         tokens, types = np.zeros(RARE, np.int64), np.zeros(RARE, np.int64)
         for b in batches:
-            for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if w:
-                    r = rare_class(w.encode())
-                    tokens[r] += n
-                    types[r] += 1
+            b = b.filter(pc.not_equal(b.column(0), ""))
+            kinds = rare_classes(b.column(0))
+            np.add.at(tokens, kinds, b.column(1).to_numpy())
+            types += np.bincount(kinds, minlength=RARE)
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(RARE), pa.int32()), pa.array(tokens), pa.array(types)], names=["r", "t", "v"]
         )
@@ -257,18 +277,22 @@ def _sigmoid(x):
     return np.reciprocal(x, out=x)
 
 
-def gru_step(weights, gates, state):
+def by_gate(matrix, h):
+    """(rows, 3 h) -> (3, rows, h), so that each gate's share is contiguous."""
+    return np.ascontiguousarray(matrix.reshape(-1, 3, h).transpose(1, 0, 2))
+
+
+def gru_step(hidden, gates, state):
     """One step for a batch: the input words' share of the gates and states -> gates and new states.
 
-    ``gates`` is overwritten.
+    ``hidden`` and ``gates`` are by gate (see ``by_gate``); ``gates`` is overwritten.
     """
-    h = state.shape[1]
-    ha = state @ weights["h"]
-    gates[:, : 2 * h] += ha[:, : 2 * h]
-    rz = _sigmoid(gates[:, : 2 * h])
-    r, z, hn = rz[:, :h], rz[:, h:], ha[:, 2 * h :]
+    ha = state @ hidden
+    rz, hn = gates[:2], ha[2]
+    rz += ha[:2]
+    r, z = _sigmoid(rz)
     n = r * hn
-    n += gates[:, 2 * h :]
+    n += gates[2]
     np.tanh(n, out=n)
     new = state - n
     new *= z
@@ -366,15 +390,16 @@ def train_window(weights, starts, words, targets, state):
     """
     steps, width = words.shape
     h, kind = state.shape[1], state.dtype
-    live = (words != 0).astype(kind)[:, :, None]
-    gates = weights["x"][words]
-    gates += weights["b"]
+    ended = [np.flatnonzero(w == 0) for w in words]
+    hidden, inputs = by_gate(weights["h"], h), by_gate(weights["x"] + weights["b"], h)
     kept = []
     states = np.empty((steps, width, h + 1), kind)
     states[:, :, h] = 1
     for t in range(steps):
-        state = state * live[t]
-        r, z, n, hn, new = gru_step(weights, gates[t], state)
+        if len(ended[t]):
+            state = state.copy()
+            state[ended[t]] = 0
+        r, z, n, hn, new = gru_step(hidden, inputs.take(words[t], axis=1), state)
         kept.append((state, r, z, n, hn))
         states[t, :, :h] = state = new
     grads = {k: np.zeros_like(v) for k, v in weights.items() if k != "x"}
@@ -391,20 +416,18 @@ def train_window(weights, starts, words, targets, state):
         d = back[t]
         d += carry
         dz = d * z  # of the old state, through the update gate
-        dn = dx[:, 2 * h :]
-        np.subtract(d, dz, out=dn)
+        dn = d - dz
         dn *= 1 - n * n
         carry = dz.copy()
         dz *= old - n
         dz *= 1 - z
-        dx[:, h : 2 * h] = dz
-        dr = dx[:, :h]
-        np.multiply(dn, hn, out=dr)
+        dr = dn * hn
         dr *= r * (1 - r)
-        dh[:, : 2 * h] = dx[:, : 2 * h]
+        dx[:, :h], dx[:, h : 2 * h], dx[:, 2 * h :] = dr, dz, dn
+        dh[:, :h], dh[:, h : 2 * h] = dr, dz
         np.multiply(dn, r, out=dh[:, 2 * h :])
         carry += dh @ turned
-        carry *= live[t]
+        carry[ended[t]] = 0
     flat = dxs.reshape(-1, 3 * h)
     grads["h"] += olds.reshape(-1, h).T @ dhs.reshape(-1, 3 * h)
     grads["b"] += flat.sum(axis=0)
@@ -520,7 +543,7 @@ def score_batch(weights, starts, docs: list[np.ndarray], p: LmParams) -> np.ndar
     """log10 P of each document (ids), rare words counted as their class only."""
     scores, h = np.zeros(len(docs)), p.hidden
     order = np.argsort([-len(d) for d in docs], kind="stable")
-    inputs = weights["x"] + weights["b"]
+    hidden, inputs = by_gate(weights["h"], h), by_gate(weights["x"] + weights["b"], h)
     for lo in range(0, len(docs), p.batch):
         part = order[lo : lo + p.batch]
         lengths = np.array([len(docs[i]) for i in part])
@@ -538,7 +561,7 @@ def score_batch(weights, starts, docs: list[np.ndarray], p: LmParams) -> np.ndar
             who = np.empty(ends[-1], np.int64)
             for s, n in enumerate(live.tolist()):
                 at = slice(ends[s], ends[s + 1])
-                state = gru_step(weights, inputs[last[:n]], state[:n])[4]
+                state = gru_step(hidden, inputs.take(last[:n], axis=1), state[:n])[4]
                 states[at, :h] = state
                 last = targets[at] = flat[start[:n] + (t + s)]
                 who[at] = part[:n]
@@ -569,9 +592,9 @@ def score_documents(
     hot = hot_counts(counts, p.hot)
     vocabulary = build_vocabulary(hot, rare_totals(counts), p)
     size, kind = vocabulary.size, id_type(vocabulary)
-    # Broadcasts hold dicts and arrays only: they are pickled by reference to their classes.
-    numbers, id_of, log_of = vocabulary.index(hot)
-    known_words = spark.sparkContext.broadcast((numbers, id_of, log_of))
+    # Broadcasts hold arrays only: they are pickled by reference to their classes.
+    known_words = spark.sparkContext.broadcast(vocabulary.index(hot))
+    end = list(hot).index(END) if END in hot else None
     base = float(np.log10(n + v + 1))
     rare_base = np.log10(np.maximum(vocabulary.rare_tokens + vocabulary.rare_types, 0) + 1)
 
@@ -579,46 +602,47 @@ def score_documents(
     # A rare word's part is log10(c + 1), less what does not depend on c.
     shape = "n long, known long, base double, part double, words array<string>, times array<int>, ids binary"
 
+    def encode_chunk(texts: pa.Array) -> pa.Array:
+        words, id_of, log_of = known_words.value
+        tokens, n = split_words(texts)
+        docs, other = len(n), len(words)
+        doc = np.repeat(np.arange(docs), n)
+        at = pc.fill_null(pc.index_in(tokens, words), other).to_numpy()
+        own, logs, missed = id_of[at], log_of[at], at == other
+        names = tokens.filter(pa.array(missed))
+        own[missed] = size + rare_classes(names)
+        rare = own >= size
+        part = np.zeros(docs)
+        if size:
+            part = np.bincount(doc[rare], weights=logs[rare] - rare_base[own[rare] - size], minlength=docs)
+        total = np.bincount(doc, weights=logs, minlength=docs) + (0.0 if end is None else log_of[end])
+        known = n - np.bincount(doc[missed], minlength=docs) + (end is not None)
+        # A document's other words, each once with how often it occurs.
+        names = names.dictionary_encode()
+        width = max(len(names.dictionary), 1)
+        pairs, times = np.unique(doc[missed] * width + names.indices.to_numpy(), return_counts=True)
+        offsets = pa.array(np.searchsorted(pairs, np.arange(docs + 1) * width), pa.int32())
+        # The end, id 0, follows the words of each document.
+        ids = np.zeros(len(own) + docs, kind)
+        ids[np.arange(len(own)) + doc] = own
+        edges = np.concatenate([[0], np.cumsum(n + 1)]) * ids.itemsize
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(n + 1, pa.int64()),
+                pa.array(known, pa.int64()),
+                pa.array(total - base * (n + 1), pa.float64()),
+                pa.array(part, pa.float64()),
+                pa.ListArray.from_arrays(offsets, names.dictionary.take(pa.array(pairs % width))),
+                pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
+                pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(ids)]),
+            ],
+            names=["n", "known", "base", "part", "words", "times", "ids"],
+        )
+
     @F.arrow_udf(shape)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        numbers, id_of, log_of = known_words.value
-        other, end = len(numbers), log_of[numbers[END]] if END in numbers else 0.0
-        number = Numbers(numbers, other).__getitem__
         for batch in batches:
-            rows, ids = [], []
-            words: list[bytes] = []
-            times: list[int] = []
-            ends = [0]
-            for t in batch:
-                tokens = ascii_words(t.as_py())
-                at = np.fromiter(map(number, tokens), np.int64, len(tokens))
-                own, logs = np.append(id_of[at], 0), log_of[at]
-                missed = np.flatnonzero(at == other).tolist()
-                names = [tokens[i] for i in missed]
-                own[missed] = [size + rare_class(w) for w in names]
-                rest = Counter(names)
-                words += rest
-                times += rest.values()
-                ends.append(len(words))
-                rare = own >= size
-                part = logs[rare[:-1]].sum() - rare_base[own[rare] - size].sum() if size else 0.0
-                known = len(tokens) - len(names) + (END in numbers)
-                rows.append((len(own), known, logs.sum() + end - base * len(own), part))
-                ids.append(own.astype(kind).tobytes())
-            n, known, total, part = zip(*rows) if rows else ((),) * 4
-            offsets = pa.array(ends, pa.int32())
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array(n, pa.int64()),
-                    pa.array(known, pa.int64()),
-                    pa.array(total, pa.float64()),
-                    pa.array(part, pa.float64()),
-                    pa.ListArray.from_arrays(offsets, pa.array(words, pa.binary()).cast(pa.string())),
-                    pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
-                    pa.array(ids, pa.binary()),
-                ],
-                names=["n", "known", "base", "part", "words", "times", "ids"],
-            )
+            yield pa.concat_arrays([encode_chunk(some) for some in chunks(batch)] or [encode_chunk(batch)])
 
     mine = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     keep = [c for c in docs.columns if c.lower() not in mine and c != text]

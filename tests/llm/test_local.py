@@ -1,13 +1,16 @@
 """The operators' in-task parts against brute force, without Spark."""
 
 import random
+import time
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import pandas as pd
 
 from ledgerline.llm import lm_scoring, packing, quality, simhash, token_counts, topk, toxicity, training_shards, warc
-from ledgerline.llm.common import fresh
+from ledgerline.llm.common import ascii_words, fresh
 from ledgerline.llm.tokenizer import Chunks, Encoder, encoding, read_vocabulary
 
 VOCAB = read_vocabulary()
@@ -312,3 +315,50 @@ def test_toxicity_patterns_against_looking_back():
         symbols = toxicity.Symbols(g)
         got = toxicity.features(text, symbols, toxicity.machine())
         assert np.allclose(got, _by_hand(text, symbols)), text
+
+
+def test_texts_are_split_into_words_without_a_loop_over_words(monkeypatch):
+    odd = [None, "", " ", " a  b\x1c\x85c\x0b\x0cD \xc9\xa0x\u2003y ", "a\x00b\tc\r\n", "x" * 90, "\n\n", "A \u212a I\u0307 z.", "q r"]
+    texts = pa.array(["skipped", *odd])[1:]
+    words, n = lm_scoring.split_words(texts)
+    want = [ascii_words(t) for t in odd]
+    assert words.cast(pa.binary()).to_pylist() == [w for t in want for w in t] and n.tolist() == [len(t) for t in want]
+    assert lm_scoring.rare_classes(words).tolist() == [lm_scoring.rare_class(w) for t in want for w in t]
+    assert lm_scoring.rare_classes(words[:0]).tolist() == []
+    monkeypatch.setattr(lm_scoring, "CHUNK", 20)
+    parts = list(lm_scoring.chunks(texts))
+    assert [t for part in parts for t in part.to_pylist()] == odd and ["x" * 90] in [part.to_pylist() for part in parts]
+    assert list(lm_scoring.chunks(texts[:0])) == []
+    rnd = random.Random(5)
+    long = [" ".join(f"Word{int(rnd.paretovariate(0.7))}" for _ in range(300)) for _ in range(1000)]
+
+    def seconds(work):
+        took = []
+        for _ in range(5):
+            begun = time.process_time()
+            work()
+            took.append(time.process_time() - begun)
+        return min(took)
+
+    def by_word():
+        counts = Counter()
+        for t in long:
+            counts.update(ascii_words(t))
+        return counts
+
+    column = pa.array(long)
+    got = lm_scoring.count_chunk(column)
+    assert dict(zip((w.encode() for w in got["token"].to_pylist()), got["n"].to_pylist())) == by_word()
+    assert seconds(lambda: lm_scoring.count_chunk(column)) < seconds(by_word)
+
+
+def test_gates_are_contiguous():
+    """Elementwise steps over slices of wider rows cost a fifth of the training time more."""
+    p = lm_scoring.LmParams()
+    matrix = np.random.default_rng(2).standard_normal((40, 3 * p.hidden)).astype(np.float32)
+    gates = lm_scoring.by_gate(matrix, p.hidden)
+    taken = gates.take(np.arange(9), axis=1)
+    hidden = lm_scoring.by_gate(matrix[: p.hidden], p.hidden)
+    state = np.zeros((9, p.hidden), np.float32)
+    assert all((gates[k] == matrix[:, k * p.hidden : (k + 1) * p.hidden]).all() for k in range(3))
+    assert taken.flags.c_contiguous and all(x.flags.c_contiguous for x in lm_scoring.gru_step(hidden, taken, state))
