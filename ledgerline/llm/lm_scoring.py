@@ -12,8 +12,9 @@ are a proper distribution over all texts.
 
 How the work is spread:
 
-- counts: every training document is counted in its task; partial counts meet
-  in one aggregation, and the whole table of counts is written once.
+- counts: every training document is counted in its task, split by Arrow
+  functions ``CHUNK`` bytes at a time; partial counts meet in one aggregation,
+  and the whole table of counts is written once.
 - encoding: the ``hot`` most frequent counts travel to the tasks (at most
   ``hot`` entries, however large the corpus). One pass turns every document
   into ids, written once for training and scoring; every other word of a
@@ -51,7 +52,7 @@ END = b""  # no word is empty
 PIECE = 4096  # weights added up at a time
 GROUPS = 64  # tasks whose weights are added up at once
 ROWS = 4096  # logits computed at a time, so that they stay in the cache
-CHUNK = 16_000_000  # bytes of text split into words at a time
+CHUNK = 6_000_000  # bytes of text split into words at a time
 RARE = 16  # classes of words outside the softmax vocabulary, by surface
 LOG10 = float(np.log(10.0))
 
@@ -606,26 +607,27 @@ def score_documents(
         words, id_of, log_of = known_words.value
         tokens, n = split_words(texts)
         docs, other = len(n), len(words)
-        doc = np.repeat(np.arange(docs), n)
+        doc = np.repeat(np.arange(docs, dtype=np.int32), n)
         at = pc.fill_null(pc.index_in(tokens, words), other).to_numpy()
-        own, logs, missed = id_of[at], log_of[at], at == other
+        own, missed = id_of[at], at == other
         names = tokens.filter(pa.array(missed))
         own[missed] = size + rare_classes(names)
         rare = own >= size
         part = np.zeros(docs)
         if size:
-            part = np.bincount(doc[rare], weights=logs[rare] - rare_base[own[rare] - size], minlength=docs)
-        total = np.bincount(doc, weights=logs, minlength=docs) + (0.0 if end is None else log_of[end])
+            part = np.bincount(doc[rare], weights=log_of[at[rare]] - rare_base[own[rare] - size], minlength=docs)
+        total = np.bincount(doc, weights=log_of[at], minlength=docs) + (0.0 if end is None else log_of[end])
         known = n - np.bincount(doc[missed], minlength=docs) + (end is not None)
         # A document's other words, each once with how often it occurs.
         names = names.dictionary_encode()
         width = max(len(names.dictionary), 1)
-        pairs, times = np.unique(doc[missed] * width + names.indices.to_numpy(), return_counts=True)
+        pairs, times = np.unique(doc[missed].astype(np.int64) * width + names.indices.to_numpy(), return_counts=True)
         offsets = pa.array(np.searchsorted(pairs, np.arange(docs + 1) * width), pa.int32())
         # The end, id 0, follows the words of each document.
-        ids = np.zeros(len(own) + docs, kind)
-        ids[np.arange(len(own)) + doc] = own
-        edges = np.concatenate([[0], np.cumsum(n + 1)]) * ids.itemsize
+        edges = np.concatenate([[0], np.cumsum(n + 1)])
+        ids, inside = np.zeros(edges[-1], kind), np.ones(edges[-1], bool)
+        inside[edges[1:] - 1] = False
+        ids[inside] = own
         return pa.StructArray.from_arrays(
             [
                 pa.array(n + 1, pa.int64()),
@@ -634,7 +636,7 @@ def score_documents(
                 pa.array(part, pa.float64()),
                 pa.ListArray.from_arrays(offsets, names.dictionary.take(pa.array(pairs % width))),
                 pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
-                pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(ids)]),
+                pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer((edges * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)]),
             ],
             names=["n", "known", "base", "part", "words", "times", "ids"],
         )
