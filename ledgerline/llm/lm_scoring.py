@@ -628,6 +628,7 @@ def score_documents(
         ids, inside = np.zeros(edges[-1], kind), np.ones(edges[-1], bool)
         inside[edges[1:] - 1] = False
         ids[inside] = own
+        buffers = [None, pa.py_buffer((edges * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)]
         return pa.StructArray.from_arrays(
             [
                 pa.array(n + 1, pa.int64()),
@@ -636,7 +637,7 @@ def score_documents(
                 pa.array(part, pa.float64()),
                 pa.ListArray.from_arrays(offsets, names.dictionary.take(pa.array(pairs % width))),
                 pa.ListArray.from_arrays(offsets, pa.array(times, pa.int32())),
-                pa.Array.from_buffers(pa.binary(), docs, [None, pa.py_buffer((edges * ids.itemsize).astype(np.int32)), pa.py_buffer(ids)]),
+                pa.Array.from_buffers(pa.binary(), docs, buffers),
             ],
             names=["n", "known", "base", "part", "words", "times", "ids"],
         )
